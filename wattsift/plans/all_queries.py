@@ -1,6 +1,6 @@
 """Every query module, imported for its registrations."""
 
-from wattsift.plans import cleaning_queries  # noqa: F401
+from wattsift.plans import cleaning_queries, metric_queries, sampling_queries  # noqa: F401
 from wattsift.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
