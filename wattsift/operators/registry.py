@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from wattsift.functions.keys import natural_id
 from wattsift.session import materialise
@@ -89,10 +88,9 @@ def new_datasets(known: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(known.select("artifact_id"), "artifact_id", "left_anti").dropDuplicates(["artifact_id"])
 
 
-def dataset_by_key(datasets: DataFrame, artifacts: DataFrame, object_key: str) -> DataFrame:
-    """Dataset rows stored under a key."""
-    wanted = artifacts.filter(F.col("object_key") == object_key).select(F.col("id").alias("artifact_id"), "object_key")
-    return datasets.join(wanted, "artifact_id")
+def stored_datasets(datasets: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Dataset rows with the key they are stored under; a filter on the key reaches the artifact scan."""
+    return datasets.join(artifacts.select(F.col("id").alias("artifact_id"), "object_key"), "artifact_id")
 
 
 def resolve_models(models: DataFrame, artifacts: DataFrame, runs: DataFrame, per_version: bool = False) -> DataFrame:
@@ -103,7 +101,7 @@ def resolve_models(models: DataFrame, artifacts: DataFrame, runs: DataFrame, per
     stored = artifacts.select(F.col("id").alias("artifact_id"), F.col("object_key").alias("model_key"), "pipeline_run_id")
     done = runs.filter(F.col("status") == "completed").select(F.col("id").alias("pipeline_run_id"), "finished_at")
     keys = ["name", "version"] if per_version else ["name"]
-    order = F.struct(F.col("finished_at").isNull(), -F.unix_micros("finished_at"), F.col("id"))
+    order = F.struct(F.col("finished_at").isNull(), -F.unix_micros(F.col("finished_at").cast("timestamp")), F.col("id"))
     picked = (
         models.join(stored, "artifact_id")
         .join(done, "pipeline_run_id")
@@ -187,11 +185,15 @@ class Registry:
     spark: SparkSession
     root: str
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> Registry:
+        """Empty tables are written where none exist yet."""
+        for name, schema in SCHEMAS.items():
+            spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(f"{root}/{name}")
+        return cls(spark, root)
+
     def table(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = T.StructType.fromDDL(SCHEMAS[name]).names
@@ -270,7 +272,8 @@ class Registry:
         return row.first()["id"]
 
     def require_dataset(self, object_key: str) -> str:
-        row = dataset_by_key(self.table("datasets"), self.table("artifacts"), object_key).select("id").first()
+        stored = stored_datasets(self.table("datasets"), self.table("artifacts"))
+        row = stored.filter(F.col("object_key") == object_key).select("id").first()
         if row is None:
             raise LookupError(f"Dataset is not registered: {object_key}")
         return row["id"]

@@ -1,6 +1,13 @@
 """Every query module, imported for its registrations."""
 
-from wattsift.plans import cleaning_queries, metric_queries, sampling_queries  # noqa: F401
+from wattsift.plans import (  # noqa: F401
+    cleaning_queries,
+    injection_queries,
+    metric_queries,
+    model_queries,
+    registry_queries,
+    sampling_queries,
+)
 from wattsift.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
