@@ -16,7 +16,7 @@ from wattsift.operators.forest import Forest
 from wattsift.operators.prep import Preprocessor, feature_vectors, fit_preprocessor, load_preprocessor, save_preprocessor
 from wattsift.operators.registry import Registry
 from wattsift.profile import ANOMALY_TYPES, ENERGY, Profile
-from wattsift.session import materialise
+from wattsift.session import materialise, spread
 from wattsift.sources.snapshots import PARQUET, Published, content_digest, load_features
 
 MODELS = ("isolation_forest", "lof", "one_class_svm")
@@ -66,6 +66,11 @@ def row_vectors(df: DataFrame, pre: Preprocessor, profile: Profile = ENERGY, kee
     return feature_vectors(df, pre, (profile.row_id, *keep), profile).withColumnRenamed(profile.row_id, "row_id")
 
 
+def stored_vectors(df: DataFrame, pre: Preprocessor, profile: Profile = ENERGY, keep: tuple[str, ...] = (), label: str = "vectors") -> DataFrame:
+    """The same, written once and spread over all cores: detectors read it many times and compute much per row."""
+    return spread(materialise(row_vectors(df, pre, profile, keep), label))
+
+
 # ---- prediction ----
 
 
@@ -139,7 +144,7 @@ def train(registry: Registry, dataset_path: str, model_root: str, version: str,
         features = load_features(spark, dataset_path, profile)
         pre = fit_preprocessor(features, profile)
         keyed = spark.read.parquet(dataset_path)
-        vectors = materialise(row_vectors(keyed, pre, profile), "training-vectors")
+        vectors = stored_vectors(keyed, pre, profile)
         model = fit_model("isolation_forest", vectors, seed, **overrides)
         root = f"{model_root}/version={version}"
         save_model("isolation_forest", model, f"{root}/model")
@@ -175,8 +180,8 @@ def compare_models(
     require_labels(labelled)
     spark = clean.sparkSession
     pre = fit_preprocessor(clean, profile)
-    train_rows = materialise(row_vectors(clean, pre, profile), "train-vectors")
-    test_rows = materialise(row_vectors(labelled, pre, profile, ("is_anomaly", "anomaly_type")), "test-vectors")
+    train_rows = stored_vectors(clean, pre, profile)
+    test_rows = stored_vectors(labelled, pre, profile, ("is_anomaly", "anomaly_type"))
     scores: DataFrame | None = None
     timings = []
     for name in names:

@@ -29,11 +29,19 @@ BLOCK_ROWS = 4096
 MAX_PIVOTS = 512
 ROWS_PER_PIVOT = 400
 PAIRS_AT_ONCE = 2_000_000
+QUERY_BLOCK = 256
+TILE_ROWS = 8192
+MERGE_PAIRS = 30_000
 
 
 # ---- per-batch arithmetic ----
 
 
+def _rounding(width: int) -> float:
+    """Relative error to allow for in a float32 product over ``width`` terms."""
+    return 2e-7 * (width + 8)
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
     return np.sqrt(np.maximum(squared, 0.0))
@@ -52,17 +60,23 @@ class Cells:
         gaps = _distances(x, self.pivots)
         return gaps.argmin(axis=1), gaps
 
-    def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(own cell, rows x cells mask of the cells that may hold one of the k nearest)."""
-        own, gaps = self.own(x)
-        reach = (gaps + self.k_radius[None, :]).min(axis=1)
+    def within(self, x: np.ndarray, own: np.ndarray, gaps: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """rows x cells mask of the cells that may hold a row within ``reach`` of each query.
+
+        A cell is out of reach when its ball is, or when the plane halfway to its pivot is.
+        """
         between = _distances(self.pivots, self.pivots)[own]
         mine = gaps[np.arange(len(x)), own][:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = np.where(between > 0, (gaps**2 - mine**2) / (2.0 * between), 0.0)
         nearest = np.maximum(gaps - self.radius[None, :], plane)
         slack = 1e-6 * (1.0 + np.sqrt((x * x).sum(1)) + np.where(np.isfinite(reach), reach, 0.0))
-        return own, (nearest <= (reach + slack)[:, None]) & (self.counts > 0)[None, :]
+        return (nearest <= (reach + slack)[:, None]) & (self.counts > 0)[None, :]
+
+    def visits(self, x: np.ndarray) -> np.ndarray:
+        """rows x cells mask of the cells that may hold one of the k nearest."""
+        own, gaps = self.own(x)
+        return self.within(x, own, gaps, (gaps + self.k_radius[None, :]).min(axis=1))
 
 
 def _top(q: np.ndarray, t: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,29 +136,97 @@ def _shipped_index(train: DataFrame, k: int, seed: int, extra: tuple[str, ...]):
     k_radius[enough] = sorted_near[(ends - counts)[enough] + k - 1]
     cells = Cells(pivots, counts, radius, k_radius)
     extras = {c: table[c].to_numpy()[order] for c in extra}
-    return cells, x[order], ids[order], ends - counts, extras
+    x = x[order]
+    wide = np.concatenate([x, ((x * x).sum(1) * (1.0 - _rounding(x.shape[1])))[:, None]], axis=1).astype(np.float32)
+    return cells, x, ids[order], ends - counts, extras, wide
+
+
+def _merge(found, fresh, ids: np.ndarray, k: int):
+    """The k best per query of two lists of (query row, training row, distance)."""
+    qi, ti, d = (np.concatenate(pair) for pair in zip(found, fresh, strict=True))
+    order = np.lexsort((ids[ti], d, qi))
+    qi, ti, d = qi[order], ti[order], d[order]
+    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return qi[keep], ti[keep], d[keep]
+
+
+def _runs(cells: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+    """Contiguous row ranges of at most TILE_ROWS covering the listed cells (ascending)."""
+    ranges: list[list[int]] = []
+    for c in cells:
+        lo, hi = int(starts[c]), int(starts[c] + counts[c])
+        if ranges and ranges[-1][1] == lo:
+            ranges[-1][1] = hi
+        else:
+            ranges.append([lo, hi])
+    return [(s, min(s + TILE_ROWS, hi)) for lo, hi in ranges for s in range(lo, hi, TILE_ROWS)]
+
+
+def _search_block(q: np.ndarray, own: np.ndarray, gaps: np.ndarray, index, k: int):
+    """k nearest for one block of queries.
+
+    The home cells give a first bound.  Cells that cannot beat it are skipped; the others are swept in
+    tiles, where a float32 product only has to name the few pairs within the bound (with its rounding
+    error allowed for).  Named pairs are measured exactly and tighten the bound as the sweep goes on.
+    """
+    cells, x, ids, starts, _, wide = index
+    by_gap = np.argsort(gaps.min(axis=0))
+    home = np.unique(own)
+    if cells.counts[home].sum() < k:
+        reach = int(np.searchsorted(np.cumsum(cells.counts[by_gap]), k)) + 1
+        home = np.unique(np.concatenate([home, by_gap[:reach]]))
+    members = np.concatenate([np.arange(starts[c], starts[c] + cells.counts[c]) for c in home])
+    qi, ti, d = _top(q, x[members], ids[members], k)
+    best = (qi, members[ti], d)
+    if len(members) == len(x):
+        return best
+    qq, slack = (q * q).sum(1), _rounding(q.shape[1])
+    lifted = np.concatenate([-2.0 * q, np.ones((len(q), 1))], axis=1).astype(np.float32)
+
+    def bound() -> np.ndarray:
+        full = np.full(len(q), np.inf)
+        ends = np.searchsorted(best[0], np.arange(len(q)), "right")
+        complete = ends - np.searchsorted(best[0], np.arange(len(q))) >= k
+        full[complete] = best[2][ends[complete] - 1]
+        return full
+
+    def limit(radius: np.ndarray) -> np.ndarray:
+        return (radius**2 * (1 + 1e-9) - qq * (1.0 - slack) + slack).astype(np.float32)[:, None]
+
+    radius = bound()
+    mask = cells.within(q, own, gaps, radius).any(axis=0)
+    mask[home] = False
+    threshold, fresh, pending = limit(radius), [], 0
+    for lo, hi in _runs(np.flatnonzero(mask), starts, cells.counts):
+        hit = np.flatnonzero(lifted @ wide[lo:hi].T <= threshold)
+        if len(hit):
+            hq, ht = hit // (hi - lo), hit % (hi - lo) + lo
+            fresh.append((hq, ht, np.sqrt(((q[hq] - x[ht]) ** 2).sum(1))))
+            pending += len(hit)
+        if pending > MERGE_PAIRS:
+            best = _merge(best, tuple(np.concatenate(f) for f in zip(*fresh, strict=True)), ids, k)
+            threshold, fresh, pending = limit(bound()), [], 0
+    if fresh:
+        best = _merge(best, tuple(np.concatenate(f) for f in zip(*fresh, strict=True)), ids, k)
+    return best
 
 
 def _nearest_shipped(q, qid, index, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, training row, distance), k per query; rows of equal id are skipped when qid is given."""
-    cells, x, ids, starts, _ = index
-    want = k if qid is None else k + 1
-    own, mask = cells.visits(q)
+    cells, ids = index[0], index[2]
+    want = min(len(ids), k if qid is None else k + 1)
+    own, gaps = cells.own(q)
+    order = np.argsort(own, kind="stable")
     parts = []
-    for cell in np.unique(own):
-        rows = np.flatnonzero(own == cell)
-        needed = np.flatnonzero(mask[rows].any(axis=0))
-        members = np.concatenate([np.arange(starts[c], starts[c] + cells.counts[c]) for c in needed])
-        qi, ti, d = _top(q[rows], x[members], ids[members], want)
-        parts.append((rows[qi], members[ti], d))
+    for start in range(0, len(q), QUERY_BLOCK):
+        rows = order[start : start + QUERY_BLOCK]
+        qi, ti, d = _search_block(q[rows], own[rows], gaps[rows], index, want)
+        parts.append((rows[qi], ti, d))
     qi, ti, d = (np.concatenate(p) for p in zip(*parts, strict=True))
     if qid is not None:
         other = ids[ti] != qid[qi]
         qi, ti, d = qi[other], ti[other], d[other]
-    order = np.lexsort((ids[ti], d, qi))
-    qi, ti, d = qi[order], ti[order], d[order]
-    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
-    return qi[keep], ti[keep], d[keep]
+    return _merge((qi, ti, d), (qi[:0], ti[:0], d[:0]), ids, k)
 
 
 def _map_nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool, seed: int, extra, schema, finish: Callable) -> DataFrame:
@@ -205,7 +287,7 @@ def _distributed(queries: DataFrame, train: DataFrame, rows: int, k: int, skip_s
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            _, mask = cells.value.visits(_matrix(batch["features"]))
+            mask = cells.value.visits(_matrix(batch["features"]))
             yield batch.assign(cells=[np.flatnonzero(m).astype(np.int32) for m in mask])
 
     per_cell = F.array(*[F.lit(int(b)) for b in blocks])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattsift.session import spread
+
 _SOURCES = (
     "gaz_naturel_reseau", "gaz_naturel_liquefie", "gaz_propane", "gaz_butane", "fioul_domestique", "charbon",
     "houille", "bois", "reseau_de_chaleur", "reseau_de_froid", "gazole_non_routier",
@@ -49,6 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_energy(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     sql = raw_energy_sql("`", "{orders}", "{customer}")
-    return spark.sql(sql, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+    orders = table(spark, sf_dir, "orders")
+    return spark.sql(sql, orders=spread(orders) if spread_rows else orders, customer=table(spark, sf_dir, "customer"))

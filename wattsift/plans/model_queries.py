@@ -15,7 +15,7 @@ from wattsift.operators.models import (
     predict,
     predict_registered,
     records_from_json,
-    row_vectors,
+    stored_vectors,
     train,
 )
 from wattsift.operators.neighbours import fit_outlier_factor, nearest, score_outlier_factor
@@ -43,7 +43,7 @@ def _preprocessor(spark, sf_dir) -> Preprocessor:
 
 def _clean_vectors(spark, sf_dir) -> DataFrame:
     return once(
-        "vectors", spark, sf_dir, lambda: materialise(row_vectors(clean_energy(spark, sf_dir), _preprocessor(spark, sf_dir)), "vectors")
+        "vectors", spark, sf_dir, lambda: stored_vectors(clean_energy(spark, sf_dir), _preprocessor(spark, sf_dir))
     )
 
 

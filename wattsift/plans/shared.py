@@ -24,7 +24,7 @@ def once(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFr
 
 def clean_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published clean dataset."""
-    return once("clean", spark, sf_dir, lambda: materialise(clean_table(raw_energy(spark, sf_dir)), "clean"))
+    return once("clean", spark, sf_dir, lambda: materialise(clean_table(raw_energy(spark, sf_dir, True)), "clean"))
 
 
 def labelled_energy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,12 @@ def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """One task per core at least, for a plain scan that feeds CPU-heavy steps.
+
+    A table of many files is left alone; a few unsplittable files would otherwise keep a few cores busy.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
