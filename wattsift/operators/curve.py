@@ -73,7 +73,9 @@ def score_curve(scores: DataFrame, types: Sequence[str] = ANOMALY_TYPES, rows_pe
     counters = {"neg": F.count_if(~F.col("is_anomaly")), "pos": F.count_if(F.col("is_anomaly"))}
     for t in types:
         counters[f"pos_{t}"] = F.count_if(F.col("is_anomaly") & (F.col("anomaly_type") == t))
-    valid = scores.filter(F.col("score").isNotNull() & F.col("is_anomaly").isNotNull())
+    # adding 0.0 folds -0.0 into 0.0, which a bucket search would keep apart
+    valid = scores.filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("is_anomaly").isNotNull())
+    valid = valid.withColumn("score", F.col("score") + F.lit(0.0))
     bucketed = _bucketed(valid, rows_per_bucket)
     tallied = bucketed.groupBy("model", "bucket", "score").agg(*[c.alias(n) for n, c in counters.items()])
 
