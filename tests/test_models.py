@@ -254,3 +254,16 @@ def test_run_events(spark):
     rows = [("r", "running", None, at), ("r", "completed", at, at)]
     events = spark.createDataFrame(rows, "id string, status string, finished_at timestamp, event_at timestamp")
     assert current_runs(events).first()["status"] == "completed"
+
+
+def test_category_lookup_is_the_same_by_constant_and_by_join(spark, clean_frame):
+    from wattsift.operators.prep import encode_categories
+
+    pre = fit_preprocessor(clean_frame)
+    mixed = clean_frame.withColumn(ENERGY.year, F.when(F.col("source_row_id") < 5, None).when(F.col("source_row_id") < 9, "1999").otherwise("2022"))
+    ways = [
+        sorted(map(tuple, encode_categories(mixed, pre, **limits).select("source_row_id", *ENERGY.categoricals).collect()))
+        for limits in ({}, {"literal_rows": 0}, {"literal_rows": 0, "broadcast_rows": 0})
+    ]
+    assert ways[0] == ways[1] == ways[2]
+    assert [r[1] for r in ways[0]] == [1.0] * 5 + [0.0] * 4 + [1.0] * 11

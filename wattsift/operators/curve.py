@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattsift.functions.numbers import ratio_or_zero
-from wattsift.operators.order_stats import DIRECT_ROWS, boundaries, exact_quantiles, values_at_ranks
+from wattsift.operators.order_stats import DIRECT_ROWS, boundaries_by_name, exact_quantiles, values_at_ranks
 from wattsift.profile import ANOMALY_TYPES
 
 OVERALL = "__all__"
@@ -212,16 +212,19 @@ def top_k_metrics(
     ).first()
     down, rid = -F.col("score"), F.col("source_row_id")
     plan, hits = [], []
+    ranked, counts, positives = {}, {}, {}
     for i, (name, subset) in enumerate(subsets.items()):
         if name != OVERALL and sizes[f"p{i}"] == 0:
             continue
         for k in ks:
             if not 1 <= k <= sizes[f"n{i}"]:
                 raise ValueError(f"k must be between 1 and {sizes[f'n{i}']}, got {k}.")
-        edges = boundaries(scores.filter(subset), down, rid, list(ks), sizes[f"n{i}"], direct_rows=direct_rows)
-        for k, edge in zip(ks, edges, strict=True):
-            hits.append(F.count_if(subset & edge.covers(down, rid) & F.col("is_anomaly")).alias(f"h{len(plan)}"))
-            plan.append((name, int(k), sizes[f"p{i}"]))
+        ranked[name], counts[name], positives[name] = F.when(subset, down), sizes[f"n{i}"], sizes[f"p{i}"]
+    edges = boundaries_by_name(scores, ranked, rid, {n: list(ks) for n in ranked}, counts, direct_rows=direct_rows)
+    for name in ranked:
+        for k, edge in zip(ks, edges[name], strict=True):
+            hits.append(F.count_if(subsets[name] & edge.covers(down, rid) & F.col("is_anomaly")).alias(f"h{len(plan)}"))
+            plan.append((name, int(k), positives[name]))
     row = scores.agg(*hits).first()
     found = [(name, k, row[f"h{j}"] / k, row[f"h{j}"] / p if p else 0.0) for j, (name, k, p) in enumerate(plan)]
     return scores.sparkSession.createDataFrame(

@@ -113,10 +113,9 @@ def fit_forest(
     """
     spark = data.sparkSession
     pool_limit = trees * max_samples * 4
-    total = data.count()
+    total, width = data.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     if not total:
         raise ValueError("Cannot fit on an empty table.")
-    width = len(data.select("features").first()[0])
     subsample = min(max_samples, total)
     pool_rows = min(total, pool_limit)
     pool = data if total <= pool_limit else sample_exact(data, pool_limit, seed, row_id, direct_rows=direct_rows)
@@ -137,7 +136,7 @@ def fit_forest(
     nodes = materialise(nodes, "forest-nodes")
     draft = spark.createDataFrame([(trees, subsample, width, seed, contamination, None)], META_SCHEMA)
     scored = materialise(score_forest(data.select("features"), Forest(nodes, draft)).select("score_samples"), "forest-fit")
-    offset = exact_quantiles(scored, {"s": F.col("score_samples")}, [contamination], direct_rows)["s"][0]
+    offset = exact_quantiles(scored, {"s": F.col("score_samples")}, [contamination], direct_rows, {"s": total})["s"][0]
     return Forest(nodes, draft.withColumn("offset", F.lit(offset)))
 
 

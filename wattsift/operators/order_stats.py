@@ -175,9 +175,11 @@ def exact_quantiles(
     values: Mapping[str, Column],
     quantiles: Sequence[float],
     direct_rows: int = DIRECT_ROWS,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each expression; None where it has no value."""
-    counts = count_values(df, values)
+    if counts is None:
+        counts = count_values(df, values)
     ranks = {}
     for name, n in counts.items():
         spots = [(n - 1) * q for q in quantiles] if n else []
@@ -223,28 +225,46 @@ def boundaries(
     direct_rows: int = DIRECT_ROWS,
 ) -> list[Boundary]:
     """Boundary key at each rank of the order (value, id); rank 0 covers nothing."""
-    live = [r for r in ranks if r > 0]
-    if not live:
-        return [Boundary(None, None) for _ in ranks]
-    if count is None:
-        count = count_values(df, {"v": value})["v"]
+    counts = None if count is None else {"v": count}
+    return boundaries_by_name(df, {"v": value}, row_id, {"v": ranks}, counts, uniform_draw, direct_rows)["v"]
+
+
+def boundaries_by_name(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    row_id: Column,
+    ranks: Mapping[str, Sequence[int]],
+    counts: Mapping[str, int] | None = None,
+    uniform_draw: bool = False,
+    direct_rows: int = DIRECT_ROWS,
+) -> dict[str, list[Boundary]]:
+    """Boundary keys of several expressions over the same rows, sharing every scan."""
+    live = {name: sorted({r for r in ranks[name] if r > 0}) for name in values}
+    if counts is None:
+        counts = count_values(df, values) if any(live.values()) else {}
     guesses = None
     if uniform_draw:
-        guesses = {}
-        for r in set(live):
-            share = r / count
-            slack = 6.0 * math.sqrt(share * (1.0 - share) / count) + 1.0 / count
-            scale = float(2**DRAW_BITS)
-            guesses[("v", r)] = (int(max(0.0, share - slack) * scale), int(min(1.0, share + slack) * scale))
-    hits = values_at_ranks(df, {"v": value}, {"v": live}, {"v": count}, guesses, direct_rows)
-    tied = {r: hits[("v", r)] for r in set(live) if r < hits[("v", r)].below + hits[("v", r)].ties}
-    last_ids: dict[int, int] = {}
+        guesses = {(name, r): _draw_bracket(r, counts[name]) for name, rs in live.items() for r in rs}
+    hits = values_at_ranks(df, values, live, counts, guesses, direct_rows)
+    tied = {key: h for key, h in hits.items() if key[1] < h.below + h.ties}
+    last_ids: dict[tuple[str, int], int] = {}
     if tied:
-        ids = {str(r): F.when(value == F.lit(h.value), row_id) for r, h in tied.items()}
-        spots = {str(r): [r - h.below] for r, h in tied.items()}
-        sizes = {str(r): h.ties for r, h in tied.items()}
-        id_hits = values_at_ranks(df, ids, spots, sizes, direct_rows=direct_rows)
-        last_ids = {r: id_hits[(str(r), r - h.below)].value for r, h in tied.items()}
-    return [
-        Boundary(hits[("v", r)].value, last_ids.get(r)) if r > 0 else Boundary(None, None) for r in ranks
-    ]
+        label = {key: f"{key[0]}:{key[1]}" for key in tied}
+        ids = {label[key]: F.when(values[key[0]] == F.lit(h.value), row_id) for key, h in tied.items()}
+        spots = {label[key]: [key[1] - h.below] for key, h in tied.items()}
+        id_hits = values_at_ranks(df, ids, spots, {label[k]: h.ties for k, h in tied.items()}, direct_rows=direct_rows)
+        last_ids = {key: id_hits[(label[key], key[1] - h.below)].value for key, h in tied.items()}
+    return {
+        name: [
+            Boundary(hits[(name, r)].value, last_ids.get((name, r))) if r > 0 else Boundary(None, None) for r in ranks[name]
+        ]
+        for name in values
+    }
+
+
+def _draw_bracket(rank: int, count: int) -> tuple[int, int]:
+    """Where the draw of this rank must lie, six deviations wide; a miss only costs another pass."""
+    share = rank / count
+    slack = 6.0 * math.sqrt(share * (1.0 - share) / count) + 1.0 / count
+    scale = float(2**DRAW_BITS)
+    return int(max(0.0, share - slack) * scale), int(min(1.0, share + slack) * scale)

@@ -19,7 +19,9 @@ from wattsift.functions.numbers import nan_to_null
 from wattsift.operators.clean import require_columns
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
 from wattsift.profile import ENERGY, Profile
+from wattsift.session import materialise
 
+LITERAL_CATEGORIES = 200
 BROADCAST_CATEGORIES = 1_000_000
 
 STATS_SCHEMA = "feature string, kind string, fill_number double, fill_text string, mean double, scale double"
@@ -93,7 +95,8 @@ def number_stats(
     for i, v in enumerate(values.values()):
         parts += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
     row = df.agg(*parts).first()
-    medians = exact_quantiles(df, values, [0.5], direct_rows)
+    known_counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    medians = exact_quantiles(df, values, [0.5], direct_rows, known_counts)
     result = []
     for i, name in enumerate(columns):
         known, rows = row[f"n{i}"], row["rows"]
@@ -116,8 +119,8 @@ def safe_scale(deviation: float, mean: float) -> float:
 def fit_preprocessor(df: DataFrame, profile: Profile = ENERGY, direct_rows: int = DIRECT_ROWS) -> Preprocessor:
     require_columns(df, profile.features, "Dataset is missing configured features")
     spark = df.sparkSession
-    counts = category_counts(df, profile.categoricals, profile).persist()
-    frequencies = category_frequencies(counts)
+    counts = materialise(category_counts(df, profile.categoricals, profile).coalesce(1), "category-counts")
+    frequencies = materialise(category_frequencies(counts).coalesce(1), "category-frequencies")
     weight = F.col("n") / F.sum("n").over(Window.partitionBy("feature"))
     spread = (
         frequencies.select("feature", "frequency", weight.alias("weight"))
@@ -142,23 +145,38 @@ def fit_preprocessor(df: DataFrame, profile: Profile = ENERGY, direct_rows: int
     return Preprocessor(kept, frequencies.select("feature", "value", "frequency"))
 
 
-def encode_categories(df: DataFrame, pre: Preprocessor, profile: Profile = ENERGY) -> DataFrame:
+def encode_categories(
+    df: DataFrame,
+    pre: Preprocessor,
+    profile: Profile = ENERGY,
+    literal_rows: int = LITERAL_CATEGORIES,
+    broadcast_rows: int = BROADCAST_CATEGORIES,
+) -> DataFrame:
     """Each categorical column replaced by its frequency; unseen values become 0.
 
-    Frequency tables are broadcast only when all of them together are small.
+    A handful of categories becomes a constant map.  More are joined: broadcast while all frequency
+    tables together are small, shuffled beyond that.
     """
     fills = {r["feature"]: r["fill_text"] for r in pre.stats.filter("kind = 'category'").collect()}
-    few = pre.frequencies.limit(BROADCAST_CATEGORIES + 1).count() <= BROADCAST_CATEGORIES
+    few = pre.frequencies.limit(literal_rows + 1).collect()
+    if len(few) <= literal_rows:
+        coded = {}
+        for name, fill in fills.items():
+            key = F.coalesce(as_category(df, name, profile), F.lit(fill))
+            pairs = [F.lit(x) for r in few if r["feature"] == name for x in (r["value"], r["frequency"]) if r["value"] is not None]
+            coded[name] = F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(0.0)) if pairs else F.lit(0.0)
+        return df.withColumns(coded)
+    light = pre.frequencies.limit(broadcast_rows + 1).count() <= broadcast_rows
     for name, fill in fills.items():
         known = pre.frequencies.filter(F.col("feature") == name).select(
             F.col("value").alias("__value"), F.col("frequency").alias("__frequency")
         )
-        if few:
+        if light:
             known = F.broadcast(known)
         filled = F.coalesce(as_category(df, name, profile), F.lit(fill))
         df = (
             df.withColumn("__key", filled)
-            .join(known, F.col("__key").eqNullSafe(F.col("__value")), "left")
+            .join(known, F.col("__key") == F.col("__value"), "left")
             .withColumn(name, F.coalesce("__frequency", F.lit(0.0)))
             .drop("__key", "__value", "__frequency")
         )

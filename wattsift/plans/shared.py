@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattsift.operators.clean import clean_table
 from wattsift.operators.inject import inject_anomalies
 from wattsift.plans.energy_view import raw_energy, table
-from wattsift.session import materialise
+from wattsift.session import materialise, spread
 
 _kept: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -35,8 +35,13 @@ def labelled_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored score table of three stand-in models."""
+    return once("scores", spark, sf_dir, lambda: materialise(_order_scores(spark, sf_dir), "scores"))
+
+
+def _order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three stand-in score columns over orders in long form, with labels and five families."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders, customer = spread(table(spark, sf_dir, "orders")), table(spark, sf_dir, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     family = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "contextual")
