@@ -13,7 +13,7 @@ from wattsift.functions.numbers import parse_number
 from wattsift.functions.shares import ascending_with_top_last, first_open_source, rescale_to_hundred, sums_to_hundred, usable_composition
 from wattsift.operators.clean import add_engineered, add_occupation, clean_table, drop_pooled_years, select_features
 from wattsift.operators.order_stats import boundaries, exact_quantiles, values_at_ranks
-from wattsift.operators.sample import allocate_counts, sample_exact, split_evaluation
+from wattsift.operators.sample import allocate_counts, sample_exact, split_evaluation, weights_from_form
 from wattsift.profile import DEFAULT_WEIGHTS, ENERGY
 from wattsift.session import scratch_path
 from wattsift.sources.csv_locale import assign_row_ids, scan_locale_csv
@@ -94,6 +94,13 @@ def test_allocation():
             allocate_counts(20, bad)
 
 
+def test_weights_from_form():
+    form = {f"{k}_weight": str(v) for k, v in DEFAULT_WEIGHTS.items()}
+    assert weights_from_form(form) == DEFAULT_WEIGHTS
+    with pytest.raises(ValueError, match="must sum to 1"):
+        weights_from_form(form | {"contextual_weight": "0.3"})
+
+
 @pytest.mark.parametrize("direct_rows", [7, 1_000_000])
 def test_order_statistics_with_hot_value(spark, direct_rows):
     rng = np.random.default_rng(3)

@@ -99,3 +99,8 @@ def test_rare_donor_is_found_after_all_draws_fail(spark):
     )
     found = {r["target_id"]: r["donor_id"] for r in match_donors(targets, _pool(spark, rows), 5, first_draws=2, all_draws=3).collect()}
     assert found == {0: 5001, 1: 5002}
+
+
+def test_missing_ids_are_supplied(clean_frame):
+    labelled = inject_anomalies(clean_frame.drop("source_row_id"), 0.2, 7)
+    assert sorted(r[0] for r in labelled.select("source_row_id").collect()) == list(range(20))

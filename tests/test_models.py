@@ -216,6 +216,10 @@ def test_registry_run(spark, clean_frame):
         registry.resolve("isolation_forest", "2030-01-01")
     with pytest.raises(Exception):
         train(registry, item.object_key, scratch_path(spark, "models"), "2026-01-02", trees=0)
+    registry.log_values(run, "metric", spark.createDataFrame([(0.5, 3)], "pr_auc double, n long"))
+    assert {r["key"]: r["value"] for r in registry.table("run_values").collect()} == {"pr_auc": "0.5", "n": "3"}
+    registry.register_experiment(run, None, first, {"seed": "42"}, {"pr_auc": "0.5"})
+    assert registry.table("experiments").first()["evaluation_dataset_id"] == first
     states = sorted(r["status"] for r in registry.runs().collect())
     assert states == ["completed", "completed", "failed"]
 

@@ -27,6 +27,7 @@ from wattsift.operators.order_stats import DIRECT_ROWS, Boundary, boundaries
 from wattsift.operators.sample import allocate_counts
 from wattsift.profile import ANOMALY_TYPES, DEFAULT_WEIGHTS, ENERGY, LABEL_COLUMNS, SEVERITY, Profile
 from wattsift.session import materialise
+from wattsift.sources.csv_locale import assign_row_ids
 
 TAIL, MIX, MONO, MULTI = "tail", "mix", "mono", "multi"
 
@@ -176,8 +177,10 @@ def inject_anomalies(
     """
     if not 0 <= anomaly_rate <= 1:
         raise ValueError("anomaly_rate must be between 0 and 1.")
-    needed = {profile.row_id, *profile.shares, *profile.splits, *profile.ratios, profile.mono_flag, *profile.context}
+    needed = {*profile.shares, *profile.splits, *profile.ratios, profile.mono_flag, *profile.context}
     require_columns(clean, needed, "Clean dataset is missing columns")
+    if profile.row_id not in clean.columns:
+        clean = materialise(assign_row_ids(clean, profile.row_id), "clean-with-ids")
     if anomaly_rate and clean.limit(2).count() < 2:
         raise ValueError("At least two rows are required to inject anomalies.")
     weights = DEFAULT_WEIGHTS if weights is None else weights

@@ -118,7 +118,14 @@ def _ships(rows: int, width: int, ship_bytes: int) -> bool:
 def _shipped_index(train: DataFrame, k: int, seed: int, extra: tuple[str, ...]):
     """Training rows sorted by cell, as arrays; the caller has checked their size."""
     table = train.select("row_id", "features", *extra).toPandas().sort_values("row_id", ignore_index=True)
-    x, ids = _matrix(table["features"]), table["row_id"].to_numpy()
+    x = _matrix(table["features"])
+    # of equal vectors only the k smallest ids can be among the k nearest of any query
+    _, same = np.unique(x, axis=0, return_inverse=True)
+    by_copy = np.argsort(same.ravel(), kind="stable")
+    grouped = same.ravel()[by_copy]
+    kept = np.sort(by_copy[np.arange(len(x)) - np.searchsorted(grouped, grouped) < k])
+    table, x = table.iloc[kept], x[kept]
+    ids = table["row_id"].to_numpy()
     n_pivots = max(1, min(MAX_PIVOTS, math.ceil(len(x) / ROWS_PER_PIVOT)))
     chosen = np.random.default_rng(seed).choice(len(x), n_pivots, replace=False)
     pivots = x[chosen]
@@ -246,9 +253,25 @@ def _map_nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool,
 # ---- larger training set: both sides distributed ----
 
 
-def _distributed(queries: DataFrame, train: DataFrame, rows: int, k: int, skip_self: bool, seed: int) -> DataFrame:
+def fold_copies(train: DataFrame, keep: int, salts: int = 64) -> DataFrame:
+    """At most ``keep`` rows per distinct vector, those with the smallest ids.
+
+    Ties are broken by id, so no other copy can be among the ``keep`` nearest of any query.  Copies are
+    thinned per salt first, so that a vector shared by a third of the table is spread over many tasks.
+    """
+    vector = [F.xxhash64("features").alias("__hash")]
+    salted = train.select("row_id", "features", *vector).withColumn("__salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)))
+    first = Window.partitionBy("__hash", "features", "__salt").orderBy("row_id")
+    thinned = salted.withColumn("__place", F.row_number().over(first)).filter(F.col("__place") <= keep)
+    last = Window.partitionBy("__hash", "features").orderBy("row_id")
+    return thinned.withColumn("__place", F.row_number().over(last)).filter(F.col("__place") <= keep).select("row_id", "features")
+
+
+def _distributed(queries: DataFrame, train: DataFrame, k: int, skip_self: bool, seed: int) -> DataFrame:
     context = queries.sparkSession.sparkContext
     want = k + skip_self
+    train = materialise(fold_copies(train, want), "folded")
+    rows = train.count()
     n_pivots = max(1, min(MAX_PIVOTS, math.ceil(rows / ROWS_PER_PIVOT)))
     picked = sample_exact(train.select("row_id", "features"), n_pivots, seed, "row_id").toPandas()
     pivots = context.broadcast(_matrix(picked.sort_values("row_id")["features"]))
@@ -343,7 +366,7 @@ def nearest(
     """
     rows, width = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     if not _ships(rows, width or 0, ship_bytes):
-        return _distributed(queries, train, rows, k, skip_self, seed)
+        return _distributed(queries, train, k, skip_self, seed)
 
     def finish(batch, index, qi, ti, d) -> pd.DataFrame:
         rank = np.arange(len(qi)) - np.searchsorted(qi, qi) + 1

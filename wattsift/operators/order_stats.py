@@ -17,6 +17,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,11 +147,8 @@ def _rank_directly(df, values, pending: list[_Open], found: dict) -> None:
     for i, ((name, _, _, below), members) in enumerate(searches.items()):
         v = values[name]
         entries.append(F.struct(F.lit(i).alias("search"), F.when(members[0].within(v), v).alias("value")))
-        local = [o.rank - below for o in members]
-        lookups.append(
-            (F.col("search") == i)
-            & F.exists(F.array(*[F.lit(r).cast("long") for r in local]), lambda r: (r > F.col("before")) & (r <= F.col("upto")))
-        )
+        spots = [(F.col("before") < F.lit(o.rank - below)) & (F.col("upto") >= F.lit(o.rank - below)) for o in members]
+        lookups.append((F.col("search") == i) & reduce(or_, spots))
     tallied = (
         df.select(F.explode(F.array(*entries)).alias("e"))
         .select("e.search", "e.value")
@@ -159,10 +158,7 @@ def _rank_directly(df, values, pending: list[_Open], found: dict) -> None:
     )
     order = Window.partitionBy("search").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = tallied.withColumn("upto", F.sum("ties").over(order)).withColumn("before", F.col("upto") - F.col("ties"))
-    keep = lookups[0]
-    for test in lookups[1:]:
-        keep = keep | test
-    hits = ranked.filter(keep).collect()
+    hits = ranked.filter(reduce(or_, lookups)).collect()
     for i, ((name, _, _, below), members) in enumerate(searches.items()):
         for o in members:
             local = o.rank - below

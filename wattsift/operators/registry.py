@@ -271,6 +271,21 @@ class Registry:
         self.append("models", row)
         return row.first()["id"]
 
+    def register_experiment(
+        self, run_id: str, model_id: str | None, dataset_id: str | None, configuration: dict[str, str], metrics: dict[str, str]
+    ) -> str:
+        row = self.spark.createDataFrame(
+            [(run_id, model_id, dataset_id, configuration, metrics)],
+            "pipeline_run_id string, model_id string, evaluation_dataset_id string, "
+            "configuration map<string,string>, metrics map<string,string>",
+        ).withColumn("id", natural_id("experiment", F.col("pipeline_run_id"), F.coalesce("model_id", F.lit(""))))
+        self.append("experiments", row)
+        return row.first()["id"]
+
+    def log_values(self, run_id: str, kind: str, wide: DataFrame) -> None:
+        """Parameters or metrics of a run, one row per value."""
+        self.append("run_values", values_long(run_id, kind, wide))
+
     def require_dataset(self, object_key: str) -> str:
         stored = stored_datasets(self.table("datasets"), self.table("artifacts"))
         row = stored.filter(F.col("object_key") == object_key).select("id").first()

@@ -89,3 +89,11 @@ def allocate_counts(total: int, weights: Mapping[str, float]) -> dict[str, int]:
     for name in by_remainder[: total - sum(counts.values())]:
         counts[name] += 1
     return counts
+
+
+def weights_from_form(fields: Mapping[str, str | float]) -> dict[str, float]:
+    """Form fields named ``<type>_weight`` to type weights; they must sum to 1 within 1e-9."""
+    weights = {name: float(fields[f"{name}_weight"]) for name in ANOMALY_TYPES}
+    if abs(sum(weights.values()) - 1.0) > 1e-9:
+        raise ValueError("Anomaly distribution weights must sum to 1.")
+    return weights
