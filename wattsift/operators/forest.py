@@ -14,11 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from wattsift.functions.batches import matrix, schema_with, with_column
 from wattsift.functions.keys import draw
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
 from wattsift.operators.sample import sample_exact
@@ -156,20 +157,19 @@ def forest_arrays(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, f
 
 
 def _score_block(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, path: np.ndarray, normal: float, depth: int) -> np.ndarray:
-    """Average path over all trees for a block of rows.
-
-    A leaf is kept as its own child: it tests feature 0 against +inf and steps back onto itself.
-    """
+    """Score of a block of rows: all rows step down one tree together, a row in a leaf stays there."""
     rows, width = x.shape
     flat = np.ascontiguousarray(x).ravel()
     base = np.arange(rows) * width
     total = np.zeros(rows)
     for f, cut, length in zip(feature, threshold, path, strict=True):
+        inner = f >= 0
+        tested = np.where(inner, f, 0)
+        left = np.where(inner, 2 * np.arange(len(f)), np.arange(len(f)))
+        limit = np.where(inner, cut, np.inf)
         at = np.ones(rows, dtype=np.int64)
         for _ in range(depth):
-            tested = f[at]
-            right = flat[base + np.maximum(tested, 0)] > cut[at]
-            at = np.where(tested >= 0, 2 * at + right, at)
+            at = left[at] + (flat[base + tested[at]] > limit[at])
         total += length[at]
     return -np.power(2.0, -total / (len(feature) * normal)) if normal else np.full(rows, -1.0)
 
@@ -178,21 +178,19 @@ def score_forest(data: DataFrame, forest: Forest, block: int = 2048) -> DataFram
     """All columns of ``data`` but ``features``, plus ``score_samples`` in [-1, 0]: lower is more anomalous."""
     arrays = data.sparkSession.sparkContext.broadcast(forest_arrays(forest))
     kept = [f for f in data.schema.fields if f.name != "features"]
-    schema = T.StructType([*kept, T.StructField("score_samples", T.DoubleType())])
     names = [f.name for f in kept]
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feature, threshold, path, normal = arrays.value
-        depth = int(math.log2(feature.shape[1])) - 1
+        depth = int(math.log2(feature.shape[1])) - 2
         for batch in batches:
-            result = np.empty(len(batch))
-            if len(batch):
-                x = np.stack(batch["features"].to_numpy())
-                for start in range(0, len(x), block):
-                    result[start : start + block] = _score_block(x[start : start + block], feature, threshold, path, normal, depth)
-            yield batch[names].assign(score_samples=result)
-
-    return data.mapInPandas(score, schema)
+            x = matrix(batch)
+            result = np.empty(len(x))
+            for start in range(0, len(x), block):
+                result[start : start + block] = _score_block(x[start : start + block], feature, threshold, path, normal, depth)
+            yield with_column(batch, names, "score_samples", result)
+
+    return data.mapInArrow(score, schema_with(kept, "score_samples"))
 
 
 def with_decision(scored: DataFrame, forest: Forest) -> DataFrame:

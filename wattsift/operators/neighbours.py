@@ -30,8 +30,8 @@ MAX_PIVOTS = 512
 ROWS_PER_PIVOT = 400
 PAIRS_AT_ONCE = 2_000_000
 QUERY_BLOCK = 256
-TILE_ROWS = 8192
-MERGE_PAIRS = 30_000
+TILE_ROWS = 2048
+MERGE_PAIRS = 100_000
 
 
 # ---- per-batch arithmetic ----
@@ -157,6 +157,16 @@ def _merge(found, fresh, ids: np.ndarray, k: int):
     return qi[keep], ti[keep], d[keep]
 
 
+def _true_spots(mask: np.ndarray) -> np.ndarray:
+    """Flat positions of the few true entries; eight are tested at a time where the size allows."""
+    flat = mask.ravel()
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    words = np.flatnonzero(flat.view(np.uint64))
+    word, bit = np.nonzero(flat.reshape(-1, 8)[words])
+    return words[word] * 8 + bit
+
+
 def _runs(cells: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
     """Contiguous row ranges of at most TILE_ROWS covering the listed cells (ascending)."""
     ranges: list[list[int]] = []
@@ -205,7 +215,7 @@ def _search_block(q: np.ndarray, own: np.ndarray, gaps: np.ndarray, index, k: in
     mask[home] = False
     threshold, fresh, pending = limit(radius), [], 0
     for lo, hi in _runs(np.flatnonzero(mask), starts, cells.counts):
-        hit = np.flatnonzero(lifted @ wide[lo:hi].T <= threshold)
+        hit = _true_spots(lifted @ wide[lo:hi].T <= threshold)
         if len(hit):
             hq, ht = hit // (hi - lo), hit % (hi - lo) + lo
             fresh.append((hq, ht, np.sqrt(((q[hq] - x[ht]) ** 2).sum(1))))

@@ -12,11 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from wattsift.functions.batches import matrix, schema_with, with_column
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
 
 COMPONENT_SCHEMA = "component int, direction array<double>, phase double, weight double"
@@ -48,33 +48,31 @@ def _scores(data: DataFrame, parts: tuple[np.ndarray, np.ndarray, np.ndarray], n
     kept = [f for f in data.schema.fields if f.name != "features"]
     names = [f.name for f in kept]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, phases, weights = shipped.value
         for batch in batches:
-            value = np.empty(len(batch))
-            if len(batch):
-                value = _lift(np.stack(batch["features"].to_numpy()), directions, phases) @ weights
-            yield batch[names].assign(**{name: value})
+            value = _lift(matrix(batch), directions, phases) @ weights if batch.num_rows else np.empty(0)
+            yield with_column(batch, names, name, value)
 
-    return data.mapInPandas(run, T.StructType([*kept, T.StructField(name, T.DoubleType())]))
+    return data.mapInArrow(run, schema_with(kept, name))
 
 
 def _mean_lift(data: DataFrame, parts, ceiling: float | None) -> np.ndarray | None:
     """Mean lifted vector of the rows scoring at most ``ceiling`` (all rows without one)."""
     shipped = data.sparkSession.sparkContext.broadcast(parts)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, phases, weights = shipped.value
         total, rows = np.zeros(len(phases)), 0
         for batch in batches:
-            if len(batch):
-                z = _lift(np.stack(batch["features"].to_numpy()), directions, phases)
+            if batch.num_rows:
+                z = _lift(matrix(batch), directions, phases)
                 if ceiling is not None:
                     z = z[z @ weights <= ceiling]
                 total, rows = total + z.sum(axis=0), rows + len(z)
-        yield pd.DataFrame({"total": [total], "rows": [rows]})
+        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([rows], pa.int64())], ["total", "rows"])
 
-    partial = data.select("features").mapInPandas(run, "total array<double>, rows long")
+    partial = data.select("features").mapInArrow(run, "total array<double>, rows long")
     summed = (
         partial.select("rows", F.posexplode("total").alias("component", "value"))
         .groupBy("component")
