@@ -12,8 +12,6 @@ draw, sized from the context's row count, so a context with a third of all rows
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window

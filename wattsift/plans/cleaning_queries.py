@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattsift.functions.keys import is_version, natural_id, sorted_json, version_from_timestamp, version_of
+from wattsift.functions.keys import is_version, natural_id, sorted_json, version_from_timestamp, version_of, weights_from_json
 from wattsift.functions.numbers import parse_number
 from wattsift.functions.shares import rescale_to_hundred
 from wattsift.operators.clean import (
@@ -26,7 +26,7 @@ from wattsift.plans.oracle_parts import ADJUSTED, BRUT, CLEAN, CONTEXT, P, RAW,
 from wattsift.plans.shared import r6
 from wattsift.session import scratch_path
 from wattsift.sources.csv_locale import assign_row_ids, scan_locale_csv
-from wattsift.sources.reports import comparison, write_results
+from wattsift.sources.reports import RESULT_SCHEMA, comparison, write_results
 from wattsift.streaming.incremental import clean_stream, new_versions, read_versions, run_available, versions_in
 
 _ALL = ("source_row_id", P.year, P.occupation, *P.context[:2], *P.numeric, P.mono_flag, *P.derived)
@@ -246,13 +246,7 @@ def json_flatten(spark, sf_dir):
     )
     path = scratch_path(spark, "results")
     write_results(nested.repartition("model"), path)
-    return comparison(spark.read.schema(_result_schema()).json(path))
-
-
-def _result_schema() -> str:
-    from wattsift.sources.reports import RESULT_SCHEMA
-
-    return RESULT_SCHEMA
+    return comparison(spark.read.schema(RESULT_SCHEMA).json(path))
 
 
 @query(
@@ -262,8 +256,6 @@ def _result_schema() -> str:
 )
 def weights_json(spark, sf_dir):
     """Type weights read from a JSON object and written back with keys in order."""
-    from wattsift.functions.keys import weights_from_json
-
     texts = table(spark, sf_dir, "events").selectExpr(
         "event_id", "concat('{\"zz\":1.0,\"', event_type, '\":', cast(value as string), '}') as txt"
     )
