@@ -77,7 +77,7 @@ class WordTokens:
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
         odd = []
-        for raw in set(words) - self.young.keys():
+        for raw in {w for w in words if w not in self.young}:
             if (known := self.old.get(raw)) is not None:
                 self.young[raw] = known
                 continue
