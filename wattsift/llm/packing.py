@@ -308,14 +308,16 @@ def pack(cut: DataFrame, capacity: int = LIMIT, order: tuple[str, ...] = ("doc_i
     ranked = rows.withColumn("_rank", within.cast("long")).join(starts, ["length", "_bucket"])
     ranked = ranked.select(*cut.columns, (F.col("_start") + F.col("_rank") - 1).alias("_rank"))
 
+    names = list(cut.columns)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rank = batch.column("_rank").to_numpy()
             found = (batch.column("length").to_numpy() << 48) + rank
             at = np.searchsorted(low, found, side="right") - 1
-            arrays = [batch.column(c) for c in cut.columns]
+            arrays = [batch.column(c) for c in names]
             arrays += [pa.array(first[at] + (found - low[at]), pa.int64()), pa.array(offset[at], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*cut.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     return ranked.mapInArrow(work, f"{fields}, sequence_id long, offset long")
