@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
+from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +24,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    base = F.sha2(joined_spans(F.col("spans"), BASE_KINDS), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, joined_spans(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
 }
 
 ORACLES: dict[str, str] = {}
