@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
@@ -32,10 +33,25 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, joined_spans(F.col("spans")).alias("spans"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = hit_words(F.col("hits"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_words"), n_hit).alias("contaminated"),
+        "longest",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
