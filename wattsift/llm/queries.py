@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
+from wattsift.llm.language import fit_languages, fold, predict_languages
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
@@ -33,6 +34,13 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, joined_spans(F.col("spans")).alias("spans"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs.where(fold(F.col("doc_id"), 5) != 0))
+    found = predict_languages(docs, model)
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = hit_words(F.col("hits"))
@@ -51,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op8_language": op8_language,
     "op10_decontaminate": op10_decontaminate,
 }
 
