@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
 from wattsift.llm.language import fit_languages, fold, predict_languages
+from wattsift.llm.likelihood import score_texts
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
@@ -41,6 +42,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, fold(F.col("doc_id"), 10) == 0)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = hit_words(F.col("hits"))
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
     "op8_language": op8_language,
+    "op9_likelihood": op9_likelihood,
     "op10_decontaminate": op10_decontaminate,
 }
 
