@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
 from wattsift.llm.language import fit_languages, fold, predict_languages
 from wattsift.llm.likelihood import score_texts
+from wattsift.llm.merkle import ORACLE as MERKLE_SQL
+from wattsift.llm.merkle import edit_fingerprints
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
@@ -35,6 +37,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, joined_spans(F.col("spans")).alias("spans"))
 
 
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_languages(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -65,9 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op6_merkle": op6_merkle,
     "op8_language": op8_language,
     "op9_likelihood": op9_likelihood,
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_merkle": MERKLE_SQL}
