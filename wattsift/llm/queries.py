@@ -15,6 +15,8 @@ from wattsift.llm.merkle import edit_fingerprints
 from wattsift.llm.near_dup import near_duplicates
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
+from wattsift.llm.warc_zip import ORACLE as WARC_SQL
+from wattsift.llm.warc_zip import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, joined_spans(F.col("spans")).alias("spans"))
 
 
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -71,10 +78,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op4_warc_zip": op4_warc_zip,
     "op6_merkle": op6_merkle,
     "op8_language": op8_language,
     "op9_likelihood": op9_likelihood,
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op6_merkle": MERKLE_SQL}
+ORACLES: dict[str, str] = {"op4_warc_zip": WARC_SQL, "op6_merkle": MERKLE_SQL}
