@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
+from wattsift.llm.html_text import extract_main_text
 from wattsift.llm.language import fit_languages, fold, predict_languages
 from wattsift.llm.likelihood import score_texts
 from wattsift.llm.merkle import ORACLE as MERKLE_SQL
@@ -44,6 +45,10 @@ def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
     "op4_warc_zip": op4_warc_zip,
+    "op5_html_text": op5_html_text,
     "op6_merkle": op6_merkle,
     "op8_language": op8_language,
     "op9_likelihood": op9_likelihood,
