@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattsift.llm.chat import repair_conversations
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
 from wattsift.llm.html_text import extract_main_text
 from wattsift.llm.language import fit_languages, fold, predict_languages
@@ -53,6 +54,10 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_languages(docs.where(fold(F.col("doc_id"), 5) != 0))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_zip": op4_warc_zip,
     "op5_html_text": op5_html_text,
     "op6_merkle": op6_merkle,
+    "op7_chat": op7_chat,
     "op8_language": op8_language,
     "op9_likelihood": op9_likelihood,
     "op10_decontaminate": op10_decontaminate,
