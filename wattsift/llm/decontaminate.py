@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattsift.llm.words import cut_points
+from wattsift.llm.words import cut_points, free_name
 from wattsift.session import materialise
 
 WINDOW = 13
@@ -319,7 +319,8 @@ def remove_contaminated(
     """
     at, names, schema = docs.columns.index(text), list(docs.columns), docs.schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.array().cast("array<bigint>").alias("_edges")) if names else docs
+    ranges_name = free_name(names, "_edges")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.array().cast("array<bigint>").alias(ranges_name))
     blocks = list(_shared(docs, _blocks(benchmark, item, item_text, window, block_bytes)))
     for n, shared in enumerate(blocks):
 
@@ -333,11 +334,11 @@ def remove_contaminated(
                     keep.append(not (n_hit > 0 and n_hit * share >= f["n_words"]))
                     edges.append([x for r in ranges for x in r])
                 arrays = [part.column(i) for i in range(len(names))]
-                out = pa.RecordBatch.from_arrays([*arrays, pa.array(edges, pa.list_(pa.int64()))], names=[*names, "_edges"])
+                out = pa.RecordBatch.from_arrays([*arrays, pa.array(edges, pa.list_(pa.int64()))], names=[*names, ranges_name])
                 yield out.filter(pa.array(keep)) if last else out
 
-        rows = rows.mapInArrow(work, f"{fields}, _edges array<bigint>")
-    return rows.drop("_edges")
+        rows = rows.mapInArrow(work, f"{fields}, `{ranges_name}` array<bigint>")
+    return rows.drop(ranges_name)
 
 
 def _shared(docs: DataFrame, sets: Iterator[TestSet]):

@@ -26,6 +26,7 @@ FIT_ROWS = 3_000
 CENTROIDS = 4
 DIMENSION_BITS = 15
 REJECT_SHARE = 0.5  # of the cosine that all but one in a hundred training texts of the same length exceed
+SHORT_FLOOR = 0.03  # at most, for the shortest texts; texts in a foreign script reach about 0.01
 UNKNOWN = "und"
 PART = 1 << 20  # characters handled at a time
 
@@ -165,7 +166,7 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text",
         model.floor[c] = lowest
     known = model.floor[np.isfinite(model.floor)]
     model.floor[~np.isfinite(model.floor)] = known.max() if len(known) else 0.0
-    model.floor[:6] = 0.0  # under 32 different n-grams (a word or three) the cosine says too little
+    model.floor[:6] = np.minimum(model.floor[:6], SHORT_FLOOR)  # under 32 different n-grams: a word or three
     return model
 
 

@@ -320,4 +320,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     """The rows of ``docs`` whose key is the smallest of its component; all columns.  Rows without a key stay."""
     found = near_duplicates(docs, key, text, **options)
     gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattsift.llm.words import cut_points, text_rows
+from wattsift.llm.words import cut_points, free_name, text_rows
 from wattsift.session import materialise
 
 LIMIT = 2048
@@ -194,7 +194,13 @@ class _Runs:
     """Pieces of descending length, taken from the front: [length, next rank, how many]."""
 
     def __init__(self, runs: list[list[int]]):
-        self.runs = [r for r in runs if r[2]][::-1]
+        joined: list[list[int]] = []
+        for length, rank, n in runs:
+            if joined and joined[-1][0] == length and sum(joined[-1][1:]) == rank:
+                joined[-1][2] += n
+            elif n:
+                joined.append([length, rank, n])
+        self.runs = joined[::-1]
 
     def take(self, most: int) -> tuple[int, int, int] | None:
         if not self.runs:
@@ -299,21 +305,20 @@ def pack(cut: DataFrame, capacity: int = LIMIT, order: tuple[str, ...] = ("doc_i
     low = np.array([(p[0] << 48) + p[1] for p in plan], np.int64)
     first, offset = np.array([p[3] for p in plan], np.int64), np.array([p[4] for p in plan], np.int64)
 
-    buckets = -(-sum(counts.values()) // RANKED_ROWS) or 1
-    rows = cut.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = rows.groupBy("length", "_bucket").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("length", "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy(*order))
-    ranked = rows.withColumn("_rank", within.cast("long")).join(starts, ["length", "_bucket"])
-    ranked = ranked.select(*cut.columns, (F.col("_start") + F.col("_rank") - 1).alias("_rank"))
-
     names = list(cut.columns)
+    bucket, start, rank = (free_name(names, n) for n in ("_bucket", "_start", "_rank"))
+    buckets = -(-sum(counts.values()) // RANKED_ROWS) or 1
+    rows = cut.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    sizes = rows.groupBy("length", bucket).count()
+    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("length", bucket, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(start))
+    within = F.row_number().over(Window.partitionBy("length", bucket).orderBy(*order))
+    ranked = rows.withColumn(rank, within.cast("long")).join(starts, ["length", bucket])
+    ranked = ranked.select(*names, (F.col(start) + F.col(rank) - 1).alias(rank))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = batch.column("_rank").to_numpy()
-            found = (batch.column("length").to_numpy() << 48) + rank
+            found = (batch.column("length").to_numpy() << 48) + batch.column(rank).to_numpy()
             at = np.searchsorted(low, found, side="right") - 1
             arrays = [batch.column(c) for c in names]
             arrays += [pa.array(first[at] + (found - low[at]), pa.int64()), pa.array(offset[at], pa.int64())]

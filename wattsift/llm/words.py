@@ -33,3 +33,11 @@ def text_rows(batch: pa.RecordBatch, key: str, text: str) -> Iterator[tuple]:
     """(key, text) of each row without turning the whole batch into Python objects at once."""
     for k, t in zip(batch.column(key), batch.column(text), strict=True):
         yield k.as_py(), t.as_py()
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
