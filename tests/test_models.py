@@ -119,17 +119,18 @@ def _brute(q, t, ids, k, skip=None):
     return order, np.take_along_axis(d, order, 1)
 
 
-@pytest.mark.parametrize("ship_bytes", [0, neighbours.SHIP_BYTES])
-def test_neighbours_against_brute_force(spark, monkeypatch, ship_bytes):
-    """Small pivots, blocks and tiles, and a third of all rows being copies of one row."""
-    for name, value in {"ROWS_PER_PIVOT": 25, "BLOCK_ROWS": 32, "QUERY_BLOCK": 40, "TILE_ROWS": 30, "MERGE_PAIRS": 200}.items():
+@pytest.mark.parametrize("slice_rows", [32_768, 50, 16])
+def test_neighbours_against_brute_force(spark, monkeypatch, slice_rows):
+    """Small slices, packs, blocks and tiles, and a third of all rows being copies of one row."""
+    sizes = {"SLICE_ROWS": slice_rows, "PACK_ROWS": 60, "BLOCK_ROWS": 32, "QUERY_BLOCK": 40, "TILE_ROWS": 30, "MERGE_PAIRS": 200}
+    for name, value in sizes.items():
         monkeypatch.setattr(neighbours, name, value)
     rng = np.random.default_rng(5)
     x = np.vstack([rng.normal(size=(200, 6)) * 5, np.repeat(rng.normal(size=(1, 6)), 100, 0)])
     rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id long, features array<double>").repartition(3)
     ids = np.arange(len(x))
     for skip in (True, False):
-        found = nearest(rows, rows, 7, skip, ship_bytes=ship_bytes).toPandas().sort_values(["row_id", "rank"])
+        found = nearest(rows, rows, 7, skip).toPandas().sort_values(["row_id", "rank"])
         order, d = _brute(x, x, ids, 7, ids if skip else None)
         assert np.array_equal(found["neighbour_id"].to_numpy().reshape(-1, 7), order)
         assert np.allclose(found["distance"].to_numpy().reshape(-1, 7), d)
@@ -146,14 +147,13 @@ def _brute_factor(train, query, k):
     return -(density[qo].mean(1) / own), np.percentile(fitted, 5)
 
 
-@pytest.mark.parametrize("ship_bytes", [0, neighbours.SHIP_BYTES])
-def test_outlier_factor_against_brute_force(spark, ship_bytes):
+def test_outlier_factor_against_brute_force(spark):
     x, data = _blob(spark, 150, 5)
     rng = np.random.default_rng(2)
     fresh = rng.normal(size=(30, 5))
     queries = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(fresh)], "row_id long, features array<double>")
-    model = fit_outlier_factor(data, k=10, ship_bytes=ship_bytes)
-    scores = score_outlier_factor(queries, model, ship_bytes=ship_bytes).toPandas().sort_values("row_id")
+    model = fit_outlier_factor(data, k=10)
+    scores = score_outlier_factor(queries, model).toPandas().sort_values("row_id")
     expected, offset = _brute_factor(x, fresh, 10)
     assert np.allclose(scores["score_samples"], expected)
     assert model.offset == pytest.approx(offset)

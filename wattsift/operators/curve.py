@@ -23,7 +23,7 @@ from wattsift.profile import ANOMALY_TYPES
 
 OVERALL = "__all__"
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+TOP_K_SCHEMA = "model string, anomaly_type string, k long, precision_at_k double, recall_at_k double"
 
 
 def as_scores(
@@ -47,10 +47,19 @@ def as_scores(
     )
 
 
+def row_counts(scores: DataFrame) -> dict[str, int]:
+    """Rows per model; a row without a score, a label or a model is an error, not a row left out."""
+    bad = F.col("score").isNull() | F.isnan("score") | F.col("is_anomaly").isNull() | F.col("model").isNull()
+    found = scores.groupBy("model").agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).collect()
+    unusable = sum(r["bad"] for r in found)
+    if unusable:
+        raise ValueError(f"{unusable} of {sum(r['rows'] for r in found)} rows have no score, label or model.")
+    return {r["model"]: r["rows"] for r in found}
+
+
 def _bucketed(scores: DataFrame, rows_per_bucket: int) -> DataFrame:
-    """Adds ``bucket``, rising with the score; one bucket for a small table."""
-    rows = scores.count()
-    wanted = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
+    """Adds ``bucket``, rising with the score; their number follows the rows, one for a small table."""
+    wanted = math.ceil(sum(row_counts(scores).values()) / rows_per_bucket)
     if wanted <= 1:
         return scores.withColumn("bucket", F.lit(0.0))
     marks = [i / wanted for i in range(1, wanted)]
@@ -69,41 +78,54 @@ def _bucketed(scores: DataFrame, rows_per_bucket: int) -> DataFrame:
 
 
 def score_curve(scores: DataFrame, types: Sequence[str] = ANOMALY_TYPES, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """(model, score, neg, pos, pos_<type>..., cum_...) per distinct score, descending totals."""
+    """(model, score, neg, pos, pos_<type>..., cum_..., all_pos, all_neg) per distinct score, descending totals.
+
+    Rows without a score or label raise.
+    """
     counters = {"neg": F.count_if(~F.col("is_anomaly")), "pos": F.count_if(F.col("is_anomaly"))}
     for t in types:
         counters[f"pos_{t}"] = F.count_if(F.col("is_anomaly") & (F.col("anomaly_type") == t))
     # adding 0.0 folds -0.0 into 0.0, which a bucket search would keep apart
-    valid = scores.filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("is_anomaly").isNotNull())
-    valid = valid.withColumn("score", F.col("score") + F.lit(0.0))
-    bucketed = _bucketed(valid, rows_per_bucket)
+    bucketed = _bucketed(scores.withColumn("score", F.col("score") + F.lit(0.0)), rows_per_bucket)
     tallied = bucketed.groupBy("model", "bucket", "score").agg(*[c.alias(n) for n, c in counters.items()])
 
     higher = Window.partitionBy("model").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    # at most MAX_BUCKETS rows per model
+    whole = Window.partitionBy("model")
+    # one row per bucket of ROWS_PER_BUCKET rows
     above = (
         tallied.groupBy("model", "bucket")
         .agg(*[F.sum(n).alias(n) for n in counters])
-        .select("model", "bucket", *[F.coalesce(F.sum(n).over(higher), F.lit(0)).alias(f"above_{n}") for n in counters])
+        .select(
+            "model",
+            "bucket",
+            *[F.coalesce(F.sum(n).over(higher), F.lit(0)).alias(f"above_{n}") for n in counters],
+            *[F.sum(n).over(whole).alias(f"all_{n}") for n in ("pos", "neg")],
+        )
     )
     inside = Window.partitionBy("model", "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return (
         tallied.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in counters})
         .join(F.broadcast(above), ["model", "bucket"])
-        .select("model", "score", *counters, *[(F.col(f"cum_{n}") + F.col(f"above_{n}")).alias(f"cum_{n}") for n in counters])
+        .select(
+            "model",
+            "score",
+            *counters,
+            *[(F.col(f"cum_{n}") + F.col(f"above_{n}")).alias(f"cum_{n}") for n in counters],
+            "all_pos",
+            "all_neg",
+        )
     )
 
 
 def pr_points(curve: DataFrame) -> DataFrame:
     """Precision and recall at every distinct score."""
-    totals = curve.groupBy("model").agg(F.sum("pos").alias("positives"))
-    return curve.join(F.broadcast(totals), "model").select(
+    return curve.select(
         "model",
         "score",
         "cum_pos",
         "cum_neg",
         ratio_or_zero(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        ratio_or_zero(F.col("cum_pos"), F.col("positives")).alias("recall"),
+        ratio_or_zero(F.col("cum_pos"), F.col("all_pos")).alias("recall"),
     )
 
 
@@ -135,8 +157,6 @@ def curve_metrics(
     """
     kinds = [("pos", OVERALL), *[(f"pos_{t}", t) for t in types]]
     at = F.struct(F.col("score"), F.col("cum_neg"), *[F.col(f"cum_{c}") for c, _ in kinds])
-    totals = curve.groupBy("model").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    rows = curve.join(F.broadcast(totals), "model")
     if threshold is not None:
         chosen = F.min(F.when(F.col("score") >= F.lit(float(threshold)), at))
     elif top_rate is not None:
@@ -148,7 +168,7 @@ def curve_metrics(
     parts = [chosen.alias("at"), F.sum("neg").alias("neg")]
     for c, _ in kinds:
         parts += [F.sum(c).alias(c), _average_precision(c).alias(f"ap_{c}"), _roc_auc(c).alias(f"auc_{c}")]
-    wide = rows.groupBy("model").agg(*parts)
+    wide = curve.groupBy("model").agg(*parts)
 
     def entry(column: str, kind: str) -> Column:
         return F.struct(
@@ -186,7 +206,7 @@ def best_f1_threshold(curve: DataFrame) -> DataFrame:
 
 def top_rate_threshold(scores: DataFrame, rate: float = 0.05, direct_rows: int = DIRECT_ROWS) -> dict[str, float]:
     """Score of the k-th row from the top per model, without building the curve."""
-    counts = {r["model"]: r["count"] for r in scores.groupBy("model").count().collect()}
+    counts = row_counts(scores)
     values = {m: F.when(F.col("model") == m, F.col("score")) for m in counts}
     ranks = {m: [n - max(1, round(n * rate)) + 1] for m, n in counts.items()}
     hits = values_at_ranks(scores, values, ranks, counts, direct_rows=direct_rows)
@@ -199,13 +219,17 @@ def top_k_metrics(
     types: Sequence[str] | None = None,
     direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
-    """Precision and recall among the k highest scores, ties by row id; overall and per type.
+    """Precision and recall among the k highest scores, ties by row id; per model, overall and per type.
 
-    Expects one model.  Each (subset, k) is one boundary key, and all are counted in one aggregate.
+    Each (model, subset, k) is one boundary key, and all are counted in one aggregate.
     """
-    subsets = {OVERALL: F.lit(True)}
+    models = sorted(row_counts(scores))
+    family = {OVERALL: F.lit(True)}
     for t in types or ():
-        subsets[t] = ~F.col("is_anomaly") | (F.col("anomaly_type") == t)
+        family[t] = ~F.col("is_anomaly") | (F.col("anomaly_type") == t)
+    subsets = {(m, t): (F.col("model") == m) & test for m in models for t, test in family.items()}
+    if not subsets:
+        return scores.sparkSession.createDataFrame([], TOP_K_SCHEMA)
     sizes = scores.agg(
         *[F.count_if(s).alias(f"n{i}") for i, s in enumerate(subsets.values())],
         *[F.count_if(s & F.col("is_anomaly")).alias(f"p{i}") for i, s in enumerate(subsets.values())],
@@ -214,7 +238,7 @@ def top_k_metrics(
     plan, hits = [], []
     ranked, counts, positives = {}, {}, {}
     for i, (name, subset) in enumerate(subsets.items()):
-        if name != OVERALL and sizes[f"p{i}"] == 0:
+        if name[1] != OVERALL and sizes[f"p{i}"] == 0:
             continue
         for k in ks:
             if not 1 <= k <= sizes[f"n{i}"]:
@@ -224,12 +248,10 @@ def top_k_metrics(
     for name in ranked:
         for k, edge in zip(ks, edges[name], strict=True):
             hits.append(F.count_if(subsets[name] & edge.covers(down, rid) & F.col("is_anomaly")).alias(f"h{len(plan)}"))
-            plan.append((name, int(k), positives[name]))
+            plan.append((*name, int(k), positives[name]))
     row = scores.agg(*hits).first()
-    found = [(name, k, row[f"h{j}"] / k, row[f"h{j}"] / p if p else 0.0) for j, (name, k, p) in enumerate(plan)]
-    return scores.sparkSession.createDataFrame(
-        found, "anomaly_type string, k long, precision_at_k double, recall_at_k double"
-    )
+    found = [(m, t, k, row[f"h{j}"] / k, row[f"h{j}"] / p if p else 0.0) for j, (m, t, k, p) in enumerate(plan)]
+    return scores.sparkSession.createDataFrame(found, TOP_K_SCHEMA)
 
 
 def calculate_metrics(

@@ -20,9 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattsift.functions.batches import matrix, schema_with, with_column
-from wattsift.functions.keys import draw
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
-from wattsift.operators.sample import sample_exact
 from wattsift.session import materialise
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, size int, depth int"
@@ -98,6 +96,18 @@ def _grow(trees: np.ndarray, values: np.ndarray, seed: int, limit: int) -> pd.Da
     return pd.concat(found, ignore_index=True)
 
 
+def tree_samples(data: DataFrame, trees: int, subsample: int, total: int, seed: int, row_id: str) -> DataFrame:
+    """(tree, features): ``subsample`` random rows of the table for every tree, the same under any partitioning."""
+    share = min(1.0, (2.0 * subsample + 64.0) / total)
+    key = F.col(row_id).cast("string")
+    hashed = lambda t: F.xxhash64(F.lit(seed), t, key).bitwiseAND(F.lit((1 << 63) - 1))
+    entries = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), hashed(t).alias("hash")))
+    low = F.filter(entries, lambda e: e["hash"] <= F.lit(min(int(share * (1 << 63)), (1 << 63) - 1)))
+    rows = data.select(F.explode(low).alias("e"), "features", F.col(row_id).alias("__id")).select("e.tree", "e.hash", "features", "__id")
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("hash", "__id"))
+    return rows.withColumn("__place", place).filter(F.col("__place") <= subsample).select("tree", "features")
+
+
 def fit_forest(
     data: DataFrame,
     trees: int = 200,
@@ -109,31 +119,23 @@ def fit_forest(
 ) -> Forest:
     """``data``: row id and ``features`` array<double>.
 
-    Every tree draws its rows without replacement from a pool of at most trees * max_samples * 4 rows,
-    itself an exact random sample; a smaller table is its own pool.
+    Every tree draws ``max_samples`` rows of the whole table without replacement: each row has a hash per
+    tree, and a tree takes the rows with its smallest hashes.  Only hashes below a bound that lets about
+    twice as many through are looked at, so what travels does not grow with the table.
     """
     spark = data.sparkSession
-    pool_limit = trees * max_samples * 4
     total, width = data.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     if not total:
         raise ValueError("Cannot fit on an empty table.")
     subsample = min(max_samples, total)
-    pool_rows = min(total, pool_limit)
-    pool = data if total <= pool_limit else sample_exact(data, pool_limit, seed, row_id, direct_rows=direct_rows)
-    place = F.row_number().over(Window.orderBy(draw(seed, "pool", F.col(row_id)), row_id)) - 1
-    placed = pool.select(place.alias("place"), "features")  # at most pool_limit rows, whatever the table holds
-
-    rng = np.random.default_rng(seed)
-    picks = np.concatenate([rng.choice(pool_rows, subsample, replace=False) for _ in range(trees)])
-    drawn = pd.DataFrame({"tree": np.repeat(np.arange(trees, dtype=np.int32), subsample), "place": picks.astype(np.int32)})
-    drawn["grove"] = drawn["tree"] // TREES_PER_GROUP
-    draws = spark.createDataFrame(drawn, "tree int, place int, grove int")
     limit = math.ceil(math.log2(max(subsample, 2)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         return _grow(group["tree"].to_numpy(), np.stack(group["features"].to_numpy()), seed, limit)
 
-    nodes = placed.join(F.broadcast(draws), "place").groupBy("grove").applyInPandas(grow, NODE_SCHEMA)
+    drawn = tree_samples(data.select(row_id, "features"), trees, subsample, total, seed, row_id)
+    groves = drawn.withColumn("grove", F.floor(F.col("tree") / TREES_PER_GROUP))
+    nodes = groves.groupBy("grove").applyInPandas(grow, NODE_SCHEMA)
     nodes = materialise(nodes, "forest-nodes")
     draft = spark.createDataFrame([(trees, subsample, width, seed, contamination, None)], META_SCHEMA)
     scored = materialise(score_forest(data.select("features"), Forest(nodes, draft)).select("score_samples"), "forest-fit")

@@ -80,8 +80,14 @@ def records_schema(profile: Profile = ENERGY) -> str:
 
 
 def records_from_json(texts: DataFrame, column: str, profile: Profile = ENERGY) -> DataFrame:
-    """One JSON object per row to the feature columns; other columns are kept."""
-    parsed = texts.withColumn("__record", F.from_json(F.col(column), records_schema(profile)))
+    """One JSON object per row to the feature columns; other columns are kept.
+
+    A text that is not one JSON object, or has a value of another type, raises when the rows are read.
+    """
+    whole = F.col(column).isNotNull() & F.startswith(F.ltrim(F.col(column)), F.lit("{"))
+    broken = F.raise_error(F.concat(F.lit("Not a record: "), F.coalesce(F.col(column), F.lit("null"))))
+    checked = F.when(whole, F.col(column)).otherwise(broken)
+    parsed = texts.withColumn("__record", F.from_json(checked, records_schema(profile), {"mode": "FAILFAST"}))
     flat = parsed.select(*[c for c in texts.columns if c != column], "__record.*")
     return flat.withColumn(profile.mono_flag, F.col(profile.mono_flag).try_cast("boolean"))
 
@@ -155,7 +161,7 @@ def train(registry: Registry, dataset_path: str, model_root: str, version: str,
         model_id = registry.register_model(model_artifact, "isolation_forest", version, dataset_id, settings)
         registry.finish_run(run_id)
     except Exception as failure:
-        registry.finish_run(run_id, str(failure)[:2000])
+        registry.finish_run(run_id, str(failure))
         raise
     return model_id
 

@@ -1,33 +1,33 @@
 """Exact k nearest neighbours (Euclidean) and the local outlier factor.
 
-Training rows are cut into cells around pivots.  For a query, distances to the pivots alone bound both
-how far its k-th neighbour can be and how near the rows of a cell can be, so most cells are skipped
-without losing a neighbour.  A training set below a checked size is shipped to the executors and
-queries never move.  A larger one stays distributed: queries are sent to the cells they must visit,
-hot cells are cut into blocks of bounded size on both sides, and per-block results are merged.
+Training rows are cut into cells around about sqrt(n) pivots, cells that lie close together into slices of
+bounded size.  Queries are packed by the slice of their home cell and meet the rows in two rounds.  The first
+searches the home slice, which bounds how far the k-th neighbour can be.  The second visits only slices with a
+cell that may hold a nearer row, and in them only such cells.  Rows and queries travel as packed blocks; a cell
+with any share of the rows is spread over as many slices as it needs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wattsift.functions.batches import matrix
 from wattsift.operators.donors import small
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
 from wattsift.operators.sample import sample_exact
 from wattsift.session import materialise
 
-SHIP_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 4096
-MAX_PIVOTS = 512
-ROWS_PER_PIVOT = 400
+SLICE_ROWS = 32_768
+PACK_ROWS = 8_192
+BLOCK_ROWS = 4_096
 PAIRS_AT_ONCE = 2_000_000
 QUERY_BLOCK = 256
 TILE_ROWS = 2048
@@ -49,12 +49,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Cells:
-    """Pivots and, per cell, the number of rows, the radius, and a radius that holds at least k rows."""
+    """Pivots and, per cell, the number of rows and the radius."""
 
     pivots: np.ndarray
     counts: np.ndarray
     radius: np.ndarray
-    k_radius: np.ndarray
 
     def own(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gaps = _distances(x, self.pivots)
@@ -65,7 +64,7 @@ class Cells:
 
         A cell is out of reach when its ball is, or when the plane halfway to its pivot is.
         """
-        between = _distances(self.pivots, self.pivots)[own]
+        between = _distances(self.pivots, self.pivots[own]).T
         mine = gaps[np.arange(len(x)), own][:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = np.where(between > 0, (gaps**2 - mine**2) / (2.0 * between), 0.0)
@@ -73,10 +72,14 @@ class Cells:
         slack = 1e-6 * (1.0 + np.sqrt((x * x).sum(1)) + np.where(np.isfinite(reach), reach, 0.0))
         return (nearest <= (reach + slack)[:, None]) & (self.counts > 0)[None, :]
 
-    def visits(self, x: np.ndarray) -> np.ndarray:
-        """rows x cells mask of the cells that may hold one of the k nearest."""
-        own, gaps = self.own(x)
-        return self.within(x, own, gaps, (gaps + self.k_radius[None, :]).min(axis=1))
+    def reach(self, gaps: np.ndarray, k: int) -> np.ndarray:
+        """A distance within which each query surely has k rows: whole balls, the nearest first."""
+        far = np.where(self.counts > 0, gaps + self.radius, np.inf)
+        order = np.argsort(far, axis=1)
+        held = np.cumsum(self.counts[order], axis=1) >= k
+        place = held.argmax(axis=1)
+        rows = np.arange(len(gaps))
+        return np.where(held[rows, place], far[rows, order[rows, place]], np.inf)
 
 
 def _top(q: np.ndarray, t: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,50 +107,6 @@ def _top(q: np.ndarray, t: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndar
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, int),) * 2 + (np.empty(0),)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(float)
-
-
-# ---- training set below the shipping size: queries stay where they are ----
-
-
-def _ships(rows: int, width: int, ship_bytes: int) -> bool:
-    return rows * width * 8 <= ship_bytes
-
-
-def _shipped_index(train: DataFrame, k: int, seed: int, extra: tuple[str, ...]):
-    """Training rows sorted by cell, as arrays; the caller has checked their size."""
-    table = train.select("row_id", "features", *extra).toPandas().sort_values("row_id", ignore_index=True)
-    x = _matrix(table["features"])
-    # of equal vectors only the k smallest ids can be among the k nearest of any query
-    _, same = np.unique(x, axis=0, return_inverse=True)
-    by_copy = np.argsort(same.ravel(), kind="stable")
-    grouped = same.ravel()[by_copy]
-    kept = np.sort(by_copy[np.arange(len(x)) - np.searchsorted(grouped, grouped) < k])
-    table, x = table.iloc[kept], x[kept]
-    ids = table["row_id"].to_numpy()
-    n_pivots = max(1, min(MAX_PIVOTS, math.ceil(len(x) / ROWS_PER_PIVOT)))
-    chosen = np.random.default_rng(seed).choice(len(x), n_pivots, replace=False)
-    pivots = x[chosen]
-    gaps = np.concatenate([_distances(part, pivots) for part in np.array_split(x, max(1, len(x) // 8192))])
-    own = gaps.argmin(axis=1)
-    near = gaps[np.arange(len(x)), own]
-    order = np.lexsort((near, own))
-    counts = np.bincount(own, minlength=n_pivots)
-    ends = np.cumsum(counts)
-    sorted_near = near[order]
-    radius = np.zeros(n_pivots)
-    radius[counts > 0] = sorted_near[ends[counts > 0] - 1]
-    k_radius = np.full(n_pivots, np.inf)
-    enough = counts >= k
-    k_radius[enough] = sorted_near[(ends - counts)[enough] + k - 1]
-    cells = Cells(pivots, counts, radius, k_radius)
-    extras = {c: table[c].to_numpy()[order] for c in extra}
-    x = x[order]
-    wide = np.concatenate([x, ((x * x).sum(1) * (1.0 - _rounding(x.shape[1])))[:, None]], axis=1).astype(np.float32)
-    return cells, x, ids[order], ends - counts, extras, wide
-
-
 def _merge(found, fresh, ids: np.ndarray, k: int):
     """The k best per query of two lists of (query row, training row, distance)."""
     qi, ti, d = (np.concatenate(pair) for pair in zip(found, fresh, strict=True))
@@ -179,32 +138,59 @@ def _runs(cells: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tup
     return [(s, min(s + TILE_ROWS, hi)) for lo, hi in ranges for s in range(lo, hi, TILE_ROWS)]
 
 
-def _search_block(q: np.ndarray, own: np.ndarray, gaps: np.ndarray, index, k: int):
-    """k nearest for one block of queries.
-
-    The home cells give a first bound.  Cells that cannot beat it are skipped; the others are swept in
-    tiles, where a float32 product only has to name the few pairs within the bound (with its rounding
+@dataclass(frozen=True)
+class Slice:
+    """Rows of some cells in memory, sorted by cell."""
+
+    cells: Cells
+    x: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+    wide: np.ndarray  # float32, with squared norms
+
+    @staticmethod
+    def of(pivots: np.ndarray, cell: np.ndarray, x: np.ndarray, ids: np.ndarray) -> Slice:
+        present, own = np.unique(cell, return_inverse=True)
+        order = np.argsort(own, kind="stable")
+        x, ids, own = x[order], ids[order], own[order]
+        counts = np.bincount(own, minlength=len(present))
+        starts = np.cumsum(counts) - counts
+        away = np.sqrt(((x - pivots[present][own]) ** 2).sum(1))
+        cells = Cells(pivots[present], counts, np.maximum.reduceat(away, starts))
+        norms = (x * x).sum(1) * (1.0 - _rounding(x.shape[1]))
+        return Slice(cells, x, ids, starts, np.concatenate([x, norms[:, None]], axis=1).astype(np.float32))
+
+
+def _search_block(q: np.ndarray, reach: np.ndarray, part: Slice, k: int):
+    """(query row, slice row, distance) of the k nearest in the slice, at most ``reach`` away, of a block of queries.
+
+    Where no reach is known yet the home cells give a first one.  Cells beyond it are skipped; the others are
+    swept in tiles, where a float32 product only has to name the few pairs within the bound (with its rounding
     error allowed for).  Named pairs are measured exactly and tighten the bound as the sweep goes on.
     """
-    cells, x, ids, starts, _, wide = index
-    by_gap = np.argsort(gaps.min(axis=0))
-    home = np.unique(own)
-    if cells.counts[home].sum() < k:
-        reach = int(np.searchsorted(np.cumsum(cells.counts[by_gap]), k)) + 1
-        home = np.unique(np.concatenate([home, by_gap[:reach]]))
-    members = np.concatenate([np.arange(starts[c], starts[c] + cells.counts[c]) for c in home])
-    qi, ti, d = _top(q, x[members], ids[members], k)
-    best = (qi, members[ti], d)
-    if len(members) == len(x):
-        return best
+    cells, x, ids = part.cells, part.x, part.ids
+    own, gaps = cells.own(q)
+    best = (np.empty(0, int), np.empty(0, int), np.empty(0))
+    home = np.empty(0, int)
+    if not np.isfinite(reach).all():
+        home = np.unique(own)
+        if cells.counts[home].sum() < k:
+            by_gap = np.argsort(gaps.min(axis=0))
+            near = int(np.searchsorted(np.cumsum(cells.counts[by_gap]), k)) + 1
+            home = np.unique(np.concatenate([home, by_gap[:near]]))
+        members = np.concatenate([np.arange(part.starts[c], part.starts[c] + cells.counts[c]) for c in home])
+        qi, ti, d = _top(q, x[members], ids[members], k)
+        best = (qi, members[ti], d)
+        if len(members) == len(x):
+            return best
     qq, slack = (q * q).sum(1), _rounding(q.shape[1])
     lifted = np.concatenate([-2.0 * q, np.ones((len(q), 1))], axis=1).astype(np.float32)
 
     def bound() -> np.ndarray:
-        full = np.full(len(q), np.inf)
+        full = reach.copy()
         ends = np.searchsorted(best[0], np.arange(len(q)), "right")
         complete = ends - np.searchsorted(best[0], np.arange(len(q))) >= k
-        full[complete] = best[2][ends[complete] - 1]
+        full[complete] = np.minimum(full[complete], best[2][ends[complete] - 1])
         return full
 
     def limit(radius: np.ndarray) -> np.ndarray:
@@ -214,8 +200,8 @@ def _search_block(q: np.ndarray, own: np.ndarray, gaps: np.ndarray, index, k: in
     mask = cells.within(q, own, gaps, radius).any(axis=0)
     mask[home] = False
     threshold, fresh, pending = limit(radius), [], 0
-    for lo, hi in _runs(np.flatnonzero(mask), starts, cells.counts):
-        hit = _true_spots(lifted @ wide[lo:hi].T <= threshold)
+    for lo, hi in _runs(np.flatnonzero(mask), part.starts, cells.counts):
+        hit = _true_spots(lifted @ part.wide[lo:hi].T <= threshold)
         if len(hit):
             hq, ht = hit // (hi - lo), hit % (hi - lo) + lo
             fresh.append((hq, ht, np.sqrt(((q[hq] - x[ht]) ** 2).sum(1))))
@@ -225,42 +211,22 @@ def _search_block(q: np.ndarray, own: np.ndarray, gaps: np.ndarray, index, k: in
             threshold, fresh, pending = limit(bound()), [], 0
     if fresh:
         best = _merge(best, tuple(np.concatenate(f) for f in zip(*fresh, strict=True)), ids, k)
-    return best
+    inside = best[2] <= (reach * (1 + 1e-9) + 1e-9)[best[0]]
+    return tuple(b[inside] for b in best)
 
 
-def _nearest_shipped(q, qid, index, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, training row, distance), k per query; rows of equal id are skipped when qid is given."""
-    cells, ids = index[0], index[2]
-    want = min(len(ids), k if qid is None else k + 1)
-    own, gaps = cells.own(q)
-    order = np.argsort(own, kind="stable")
-    parts = []
+def _search(q: np.ndarray, reach: np.ndarray, part: Slice, k: int):
+    """The same for many queries, taken by home cell so that a block shares its cells."""
+    order = np.argsort(part.cells.own(q)[0], kind="stable")
+    found = []
     for start in range(0, len(q), QUERY_BLOCK):
         rows = order[start : start + QUERY_BLOCK]
-        qi, ti, d = _search_block(q[rows], own[rows], gaps[rows], index, want)
-        parts.append((rows[qi], ti, d))
-    qi, ti, d = (np.concatenate(p) for p in zip(*parts, strict=True))
-    if qid is not None:
-        other = ids[ti] != qid[qi]
-        qi, ti, d = qi[other], ti[other], d[other]
-    return _merge((qi, ti, d), (qi[:0], ti[:0], d[:0]), ids, k)
+        qi, ti, d = _search_block(q[rows], reach[rows], part, min(k, len(part.x)))
+        found.append((rows[qi], ti, d))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
 
 
-def _map_nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool, seed: int, extra, schema, finish: Callable) -> DataFrame:
-    shipped = queries.sparkSession.sparkContext.broadcast(_shipped_index(train, k + skip_self, seed, extra))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = shipped.value
-        for batch in batches:
-            if len(batch):
-                qid = batch["row_id"].to_numpy()
-                hit = _nearest_shipped(_matrix(batch["features"]), qid if skip_self else None, index, k)
-                yield finish(batch, index, *hit)
-
-    return queries.mapInPandas(run, schema)
-
-
-# ---- larger training set: both sides distributed ----
+# ---- rows and queries in slices ----
 
 
 def fold_copies(train: DataFrame, keep: int, salts: int = 64) -> DataFrame:
@@ -277,113 +243,182 @@ def fold_copies(train: DataFrame, keep: int, salts: int = 64) -> DataFrame:
     return thinned.withColumn("__place", F.row_number().over(last)).filter(F.col("__place") <= keep).select("row_id", "features")
 
 
-def _distributed(queries: DataFrame, train: DataFrame, k: int, skip_self: bool, seed: int) -> DataFrame:
-    context = queries.sparkSession.sparkContext
-    want = k + skip_self
-    train = materialise(fold_copies(train, want), "folded")
-    rows = train.count()
-    n_pivots = max(1, min(MAX_PIVOTS, math.ceil(rows / ROWS_PER_PIVOT)))
-    picked = sample_exact(train.select("row_id", "features"), n_pivots, seed, "row_id").toPandas()
-    pivots = context.broadcast(_matrix(picked.sort_values("row_id")["features"]))
+def _spot(before: np.ndarray, counts: np.ndarray, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """A place for each row in the line of all rows by cell; rows of a cell are spread over its stretch by their id."""
+    with np.errstate(over="ignore"):
+        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    share = (mixed >> np.uint64(11)).astype(float) / 2.0**53
+    return before[cell] + np.minimum((share * counts[cell]).astype(np.int64), np.maximum(counts[cell] - 1, 0))
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gaps = _distances(_matrix(batch["features"]), pivots.value)
-            own = gaps.argmin(axis=1)
-            yield batch.assign(cell=own.astype(np.int32), near=gaps[np.arange(len(batch)), own])
 
-    placed = train.select("row_id", "features").mapInPandas(
-        assign, "row_id long, features array<double>, cell int, near double"
-    )
-    placed = materialise(placed, "cells")
-    # a radius that surely holds `want` rows: a sketch bound, verified by counting, else the whole cell
-    bound = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("near").alias("radius"),
-    )
-    bound = bound.withColumn("share", F.least(F.lit(1.0), F.lit(2.0 * want) / F.col("rows") + 0.001))
-    sketch = placed.groupBy("cell").agg(F.percentile_approx("near", [i / 200 for i in range(1, 201)], 10_000).alias("marks"))
-    tight = bound.join(sketch, "cell").withColumn(
-        "tight", F.element_at("marks", F.least(F.lit(200), F.ceil(F.col("share") * 200).cast("int")))
-    )
-    held = placed.join(F.broadcast(tight.select("cell", "tight")), "cell").groupBy("cell").agg(
-        F.count_if(F.col("near") <= F.col("tight")).alias("held")
-    )
-    stats = tight.join(held, "cell").select("cell", "rows", "radius", "tight", "held").collect()  # one row per pivot
-    counts, radius = np.zeros(n_pivots, dtype=np.int64), np.zeros(n_pivots)
-    k_radius = np.full(n_pivots, np.inf)
-    for s in stats:
-        counts[s["cell"]], radius[s["cell"]] = s["rows"], s["radius"]
-        if s["rows"] >= want:
-            k_radius[s["cell"]] = s["tight"] if s["held"] >= want else s["radius"]
-    cells = context.broadcast(Cells(pivots.value, counts, radius, k_radius))
-    blocks = np.maximum(1, np.ceil(counts / BLOCK_ROWS)).astype(int)
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            mask = cells.value.visits(_matrix(batch["features"]))
-            yield batch.assign(cells=[np.flatnonzero(m).astype(np.int32) for m in mask])
-
-    per_cell = F.array(*[F.lit(int(b)) for b in blocks])
-    routed = (
-        queries.select("row_id", "features")
-        .mapInPandas(route, "row_id long, features array<double>, cells array<int>")
-        .select("row_id", "features", F.explode("cells").alias("cell"))
-        .select("row_id", "features", "cell", F.explode(F.sequence(F.lit(0), F.get(per_cell, F.col("cell")) - 1)).alias("block"))
-    )
-    routed = materialise(routed, "cell-queries")
-    loads = routed.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("shards"))
-    loads = materialise(loads, "cell-loads")
-    n_loads = loads.count()
-    salt = F.xxhash64("row_id")
-    asked = routed.join(small(loads, n_loads), ["cell", "block"]).select(
-        "cell", "block", F.pmod(salt, F.col("shards")).cast("int").alias("shard"), "row_id", "features"
-    )
-    stored = (
-        placed.withColumn("block", F.pmod(salt, F.get(per_cell, F.col("cell")).cast("long")).cast("int"))
-        .join(small(loads, n_loads), ["cell", "block"])
-        .select("cell", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "row_id", "features")
-    )
+def _chained(pivots: np.ndarray) -> np.ndarray:
+    """Pivots in an order that keeps near ones together: halves along the widest direction, again and again."""
+    out, todo = [], [np.arange(len(pivots))]
+    while todo:
+        part = todo.pop()
+        if len(part) < 3:
+            out.append(part)
+            continue
+        x = pivots[part] - pivots[part].mean(0)
+        line = x @ x[np.argmax((x * x).sum(1))]
+        order = part[np.argsort(line, kind="stable")]
+        todo += [order[len(order) // 2 :], order[: len(order) // 2]]
+    return np.concatenate(out)
 
-    def search(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        empty = {"row_id": np.empty(0, np.int64), "neighbour_id": np.empty(0, np.int64), "distance": np.empty(0)}
-        if not len(asking) or not len(rows):
-            return pd.DataFrame(empty)
-        qid, ids = asking["row_id"].to_numpy(), rows["row_id"].to_numpy()
-        qi, ti, d = _top(_matrix(asking["features"]), _matrix(rows["features"]), ids, want)
-        return pd.DataFrame({"row_id": qid[qi], "neighbour_id": ids[ti], "distance": d})
-
-    keys = ["cell", "block", "shard"]
-    found = asked.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInPandas(
-        search, "row_id long, neighbour_id long, distance double"
-    )
-    if skip_self:
-        found = found.filter(F.col("row_id") != F.col("neighbour_id"))
-    order = Window.partitionBy("row_id").orderBy("distance", "neighbour_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
+_PACKED = "n long, ids binary, vectors binary"
 
-def nearest(
-    queries: DataFrame,
-    train: DataFrame,
-    k: int,
-    skip_self: bool = False,
-    seed: int = 42,
-    ship_bytes: int = SHIP_BYTES,
-) -> DataFrame:
+
+def _pack(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """One row per key with the ids and vectors of all its rows; callers bound the rows per key."""
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("row_id")
+        vectors = table.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        columns = [table.column(k).slice(0, 1) for k in keys]
+        blobs = [pa.array([table.num_rows], pa.int64()), pa.array([table.column("row_id").to_numpy().tobytes()], pa.binary())]
+        return pa.table([*columns, *blobs, pa.array([np.asarray(vectors, float).tobytes()], pa.binary())], names=[*keys, "n", "ids", "vectors"])
+
+    return rows.select(*keys, "row_id", "features").groupBy(*keys).applyInArrow(pack, f"{kinds}, {_PACKED}")
+
+
+def _arrays(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], float).reshape(-1, width)
+
+
+def _slice_of(blocks: pa.Table, pivots: np.ndarray, width: int) -> Slice:
+    cells, ids, vectors = [], [], []
+    for row in blocks.select(["cell", "ids", "vectors"]).to_pylist():
+        i, x = _arrays(row, width)
+        cells.append(np.full(len(i), row["cell"]))
+        ids.append(i)
+        vectors.append(x)
+    order = np.argsort(np.concatenate(ids), kind="stable")
+    return Slice.of(pivots, np.concatenate(cells)[order], np.concatenate(vectors)[order], np.concatenate(ids)[order])
+
+
+def nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool = False, seed: int = 42) -> DataFrame:
     """(row_id, neighbour_id, distance, rank) for the k nearest training rows of every query, ties by id.
 
-    Both tables have ``row_id`` long and ``features`` array<double>.
+    Both tables have ``row_id`` long and ``features`` array<double> of one width.
     """
-    rows, width = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    if not _ships(rows, width or 0, ship_bytes):
-        return _distributed(queries, train, k, skip_self, seed)
+    return nearest_with_plan(queries, train, k, skip_self, seed)[0]
 
-    def finish(batch, index, qi, ti, d) -> pd.DataFrame:
-        rank = np.arange(len(qi)) - np.searchsorted(qi, qi) + 1
-        return pd.DataFrame({"row_id": batch["row_id"].to_numpy()[qi], "neighbour_id": index[2][ti], "distance": d, "rank": rank})
 
-    schema = "row_id long, neighbour_id long, distance double, rank int"
-    return _map_nearest(queries.select("row_id", "features"), train, k, skip_self, seed, (), schema, finish)
+def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: bool = False, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The neighbours, and per pack of queries (home, pack, n, cells, needed): the cells of the training set, and how
+    many of them a query of the pack had to look into on average."""
+    context = queries.sparkSession.sparkContext
+    want = k + skip_self
+    train = materialise(fold_copies(train.select("row_id", "features"), want), "folded")
+    rows, width = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    if not rows:
+        raise ValueError("There are no rows to be neighbours.")
+    picked = sample_exact(train, math.ceil(math.sqrt(rows)), seed, "row_id").orderBy("row_id").toArrow()  # about sqrt(n) rows
+    pivots = np.asarray(picked.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(-1, width)
+    pivots = pivots[_chained(pivots)]
+    shared = context.broadcast(pivots)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch)
+            own, near = np.zeros(len(x), np.int32), np.zeros(len(x))
+            for start in range(0, len(x), 4096):
+                gaps = _distances(x[start : start + 4096], shared.value)
+                own[start : start + 4096], near[start : start + 4096] = gaps.argmin(axis=1), gaps.min(axis=1)
+            columns = [*batch.columns, pa.array(own), pa.array(near)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row_id", "features", "cell", "near"])
+
+    schema = "row_id long, features array<double>, cell int, near double"
+
+    def placed(table: DataFrame, label: str) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+        found = materialise(table.select("row_id", "features").mapInArrow(assign, schema), label)
+        counts, radius = np.zeros(len(pivots), np.int64), np.zeros(len(pivots))
+        for r in found.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("far")).collect():  # one row per pivot
+            counts[r["cell"]], radius[r["cell"]] = r["n"], r["far"]
+        return found, counts, radius
+
+    stored, counts, radius = placed(train, "cells")
+    asked, asked_counts, _ = placed(queries, "cell-queries")
+    before, slices = np.cumsum(counts) - counts, -(-rows // SLICE_ROWS)
+    plan = context.broadcast((Cells(pivots, counts, radius), before, np.cumsum(asked_counts) - asked_counts, asked_counts))
+
+    def cut(batches: Iterator[pa.RecordBatch], of_queries: bool) -> Iterator[pa.RecordBatch]:
+        cells, before, asked_before, asked_counts = plan.value
+        for batch in batches:
+            ids, cell = batch.column("row_id").to_numpy(), batch.column("cell").to_numpy()
+            home = _spot(before, cells.counts, cell, ids) // SLICE_ROWS
+            part = _spot(asked_before, asked_counts, cell, ids) // PACK_ROWS if of_queries else _spot(before, cells.counts, cell, ids) // BLOCK_ROWS
+            columns = [batch.column("row_id"), batch.column("features"), batch.column("cell"), pa.array(home.astype(np.int64)), pa.array(part.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row_id", "features", "cell", "home", "pack"])
+
+    cut_schema = "row_id long, features array<double>, cell int, home long, pack long"
+    blocks = _pack(stored.mapInArrow(lambda b: cut(b, False), cut_schema), ["home", "cell", "pack"], width)
+    blocks = materialise(blocks.withColumnRenamed("home", "slice").drop("pack"), "cell-blocks")
+    packs = materialise(_pack(asked.mapInArrow(lambda b: cut(b, True), cut_schema), ["home", "pack"], width), "query-packs")
+
+    def first_round(asking: pa.Table, near: pa.Table) -> pa.Table:
+        cells, before = plan.value[:2]
+        out: list[tuple] = []
+        part = _slice_of(near, cells.pivots, width) if near.num_rows else None
+        first, last = before // SLICE_ROWS, np.maximum(before + cells.counts - 1, 0) // SLICE_ROWS
+        for row in asking.to_pylist():
+            ids, q = _arrays(row, width)
+            reach = np.full(len(q), np.inf)
+            qi, ti, d = _search(q, reach, part, want) if part is not None else (np.empty(0, int),) * 2 + (np.empty(0),)
+            complete = np.bincount(qi, minlength=len(q)) >= want
+            worst = np.zeros(len(q))
+            np.maximum.at(worst, qi, d)
+            needed, wanted = 0, np.zeros(len(cells.counts), bool)
+            for start in range(0, len(q), 1024):
+                rows = slice(start, start + 1024)
+                own, gaps = cells.own(q[rows])
+                reach[rows] = np.where(complete[rows], np.minimum(worst[rows], cells.reach(gaps, want)), cells.reach(gaps, want))
+                mask = cells.within(q[rows], own, gaps, reach[rows])
+                needed += int(mask.sum())
+                wanted |= mask.any(axis=0)
+            visit = sorted({s for c in np.flatnonzero(wanted) for s in range(int(first[c]), int(last[c]) + 1)} - {row["home"]})
+            neighbours = part.ids[ti] if part is not None else ti
+            out.append((row["home"], row["pack"], row["n"], reach.tobytes(), visit, needed / len(q), ids[qi].tobytes(), neighbours.astype(np.int64).tobytes(), d.tobytes()))
+        names = ["home", "pack", "n", "reach", "visit", "needed", "row_ids", "neighbour_ids", "distances"]
+        kinds = [pa.int64()] * 3 + [pa.binary(), pa.list_(pa.int64()), pa.float64()] + [pa.binary()] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 9, kinds, strict=True)], names=names)
+
+    def second_round(asking: pa.Table, near: pa.Table) -> pa.Table:
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if asking.num_rows and near.num_rows:
+            part = _slice_of(near, plan.value[0].pivots, width)
+            for row in asking.to_pylist():
+                ids, q = _arrays(row, width)
+                qi, ti, d = _search(q, np.frombuffer(row["reach"], float).copy(), part, want)
+                found.append((ids[qi], part.ids[ti], d))
+        return pa.table([np.concatenate(f) for f in zip(*found, strict=True)], names=["row_id", "neighbour_id", "distance"])
+
+    by_home = packs.withColumn("slice", F.col("home"))
+    pairs = by_home.select("slice", F.col("home").alias("to_home"), F.col("pack").alias("to_pack"))
+    sent = blocks.join(small(pairs, packs.count()), "slice")
+    result = "home long, pack long, n long, reach binary, visit array<long>, needed double, row_ids binary, neighbour_ids binary, distances binary"
+    one = materialise(by_home.groupBy("home", "pack", "slice").cogroup(sent.groupBy("to_home", "to_pack", "slice")).applyInArrow(first_round, result), "first-round")
+    visits = one.select("home", "pack", "reach", F.explode("visit").alias("slice"))
+    pairs = materialise(visits.select(F.col("home").alias("to_home"), F.col("pack").alias("to_pack"), "slice"), "visits")
+    asked_again = packs.join(visits, ["home", "pack"])
+    sent = blocks.join(small(pairs, pairs.count()), "slice")
+    found = "row_id long, neighbour_id long, distance double"
+    two = asked_again.groupBy("home", "pack", "slice").cogroup(sent.groupBy("to_home", "to_pack", "slice")).applyInArrow(second_round, found)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                columns = [np.frombuffer(row["row_ids"], np.int64), np.frombuffer(row["neighbour_ids"], np.int64), np.frombuffer(row["distances"], float)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row_id", "neighbour_id", "distance"])
+
+    both = one.select("row_ids", "neighbour_ids", "distances").mapInArrow(unpack, found).unionByName(two)
+    if skip_self:
+        both = both.filter(F.col("row_id") != F.col("neighbour_id"))
+    order = Window.partitionBy("row_id").orderBy("distance", "neighbour_id")
+    ranked = both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked, one.select("home", "pack", "n", F.lit(len(pivots)).alias("cells"), "needed", F.size("visit").alias("slices"), F.lit(slices).alias("all_slices"))
 
 
 # ---- local outlier factor ----
@@ -413,14 +448,13 @@ def fit_outlier_factor(
     k: int = 35,
     contamination: float = 0.05,
     seed: int = 42,
-    ship_bytes: int = SHIP_BYTES,
     direct_rows: int = DIRECT_ROWS,
 ) -> OutlierFactor:
     rows = train.count()
     if rows < 2:
         raise ValueError("At least two rows are required.")
     k = max(1, min(k, rows - 1))
-    pairs = materialise(nearest(train, train, k, True, seed, ship_bytes), "neighbours")
+    pairs = materialise(nearest(train, train, k, True, seed), "neighbours")
     reach = pairs.groupBy(F.col("row_id").alias("neighbour_id")).agg(F.max("distance").alias("k_distance"))
     density = materialise(
         _mean_reach(pairs, small(reach, rows)).join(reach.withColumnRenamed("neighbour_id", "row_id"), "row_id"), "densities"
@@ -438,30 +472,16 @@ def fit_outlier_factor(
     return OutlierFactor(train.select("row_id", "features").join(density, "row_id"), k, offset)
 
 
-def score_outlier_factor(queries: DataFrame, model: OutlierFactor, seed: int = 42, ship_bytes: int = SHIP_BYTES) -> DataFrame:
+def score_outlier_factor(queries: DataFrame, model: OutlierFactor, seed: int = 42) -> DataFrame:
     """(row_id, score_samples): minus the local outlier factor, lower is more anomalous.
 
     Queries are new rows: a training row asked again counts itself among its neighbours.
     """
-    rows, width = model.rows.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    asked = queries.select("row_id", "features")
-    if _ships(rows, width + 2, ship_bytes):
-
-        def finish(batch, index, qi, ti, d) -> pd.DataFrame:
-            extras = index[4]
-            counts = np.bincount(qi, minlength=len(batch))
-            reach = np.bincount(qi, np.maximum(d, extras["k_distance"][ti]), len(batch)) / counts
-            near = np.bincount(qi, extras["density"][ti], len(batch)) / counts
-            return pd.DataFrame({"row_id": batch["row_id"], "score_samples": -near * (reach + 1e-10)})
-
-        return _map_nearest(
-            asked, model.rows, model.k, False, seed, ("k_distance", "density"), "row_id long, score_samples double", finish
-        )
-    pairs = nearest(asked, model.rows, model.k, False, seed, ship_bytes)
+    pairs = nearest(queries, model.rows, model.k, False, seed)
     about = model.rows.select(F.col("row_id").alias("neighbour_id"), "k_distance", F.col("density").alias("near"))
     farther = F.greatest(F.col("distance"), F.col("k_distance"))
     return (
-        pairs.join(small(about, rows), "neighbour_id")
+        pairs.join(small(about, model.rows.count()), "neighbour_id")
         .groupBy("row_id")
         .agg((-F.avg("near") * (F.avg(farther) + F.lit(1e-10))).alias("score_samples"))
     )

@@ -150,9 +150,9 @@ def _rank_directly(df, values, pending: list[_Open], found: dict) -> None:
         spots = [(F.col("before") < F.lit(o.rank - below)) & (F.col("upto") >= F.lit(o.rank - below)) for o in members]
         lookups.append((F.col("search") == i) & reduce(or_, spots))
     tallied = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
+        # most rows lie inside few of the searches, so the others' entries go before the rows are multiplied
+        df.select(F.explode(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())).alias("e"))
         .select("e.search", "e.value")
-        .filter(F.col("value").isNotNull())
         .groupBy("search", "value")
         .agg(F.count(F.lit(1)).alias("ties"))
     )

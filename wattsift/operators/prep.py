@@ -82,8 +82,17 @@ def category_frequencies(counts: DataFrame) -> DataFrame:
         .groupBy("feature", "value")
         .agg(F.sum("n").alias("n"))
     )
-    total = F.sum("n").over(Window.partitionBy("feature"))
-    return filled.select("feature", "value", (F.col("n") / total).alias("frequency"), "n")
+    return _with_share(filled, "frequency")
+
+
+def _with_share(counts: DataFrame, name: str) -> DataFrame:
+    """Adds each row's share of its feature's total; totals are one row per feature."""
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("__total"))
+    return counts.join(F.broadcast(totals), "feature").select("feature", "value", *_others(counts), (F.col("n") / F.col("__total")).alias(name), "n")
+
+
+def _others(counts: DataFrame) -> list[str]:
+    return [c for c in counts.columns if c not in ("feature", "value", "n")]
 
 
 def number_stats(
@@ -119,11 +128,10 @@ def safe_scale(deviation: float, mean: float) -> float:
 def fit_preprocessor(df: DataFrame, profile: Profile = ENERGY, direct_rows: int = DIRECT_ROWS) -> Preprocessor:
     require_columns(df, profile.features, "Dataset is missing configured features")
     spark = df.sparkSession
-    counts = materialise(category_counts(df, profile.categoricals, profile).coalesce(1), "category-counts")
-    frequencies = materialise(category_frequencies(counts).coalesce(1), "category-frequencies")
-    weight = F.col("n") / F.sum("n").over(Window.partitionBy("feature"))
+    counts = materialise(category_counts(df, profile.categoricals, profile), "category-counts")
+    frequencies = materialise(category_frequencies(counts), "category-frequencies")
     spread = (
-        frequencies.select("feature", "frequency", weight.alias("weight"))
+        _with_share(frequencies, "weight")
         .groupBy("feature")
         .agg(
             F.sum(F.col("weight") * F.col("frequency")).alias("mean"),

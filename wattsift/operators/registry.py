@@ -268,8 +268,13 @@ class Registry:
             "artifact_id string, name string, version string, training_dataset_id string, "
             "parameters map<string,string>, metrics map<string,string>",
         ).withColumn("id", natural_id("model", F.col("artifact_id"), F.col("name"), F.col("version")))
-        self.append("models", row)
-        return row.first()["id"]
+        known = self.table("models").filter(F.col("artifact_id") == artifact_id).select("name", "version", "id").first()
+        if known is None:
+            self.append("models", row)
+            return row.first()["id"]
+        if (known["name"], known["version"]) != (name, version):
+            raise ValueError(f"Artifact {artifact_id} already holds model {known['name']} version {known['version']}.")
+        return known["id"]
 
     def register_experiment(
         self, run_id: str, model_id: str | None, dataset_id: str | None, configuration: dict[str, str], metrics: dict[str, str]
@@ -278,7 +283,7 @@ class Registry:
             [(run_id, model_id, dataset_id, configuration, metrics)],
             "pipeline_run_id string, model_id string, evaluation_dataset_id string, "
             "configuration map<string,string>, metrics map<string,string>",
-        ).withColumn("id", natural_id("experiment", F.col("pipeline_run_id"), F.coalesce("model_id", F.lit(""))))
+        ).withColumn("id", natural_id("experiment", F.col("pipeline_run_id"), F.coalesce("model_id", F.lit("")), F.coalesce("evaluation_dataset_id", F.lit("")), F.to_json(F.array_sort(F.map_entries("configuration")))))
         self.append("experiments", row)
         return row.first()["id"]
 

@@ -95,39 +95,28 @@ def top_rate(spark, sf_dir):
     return spark.createDataFrame(list(found.items()), "model string, threshold double")
 
 
-def _price(spark, sf_dir):
-    return order_scores(spark, sf_dir).filter(F.col("model") == "price")
-
-
-def _band(spark, sf_dir):
-    return order_scores(spark, sf_dir).filter(F.col("model") == "band")
-
-
 _KS = (10, 100, 1000)
+_AT_K = " union all ".join(
+    f"""select model, cast({k} as bigint) as k, count(*) filter (where rn <= {k} and is_anomaly) as hits, count(*) filter (where is_anomaly) as p
+ from (select *, row_number() over (partition by model order by score desc, source_row_id) as rn from scores) t group by model"""
+    for k in _KS
+)
 
 
-def _at_k(model: str) -> str:
-    ranked = f"select *, row_number() over (order by score desc, source_row_id) as rn from scores where model = '{model}'"
-    return " union all ".join(
-        f"select {k} as k, count(*) filter (where rn <= {k} and is_anomaly) as hits, count(*) filter (where is_anomaly) as p from ({ranked}) t"
-        for k in _KS
-    )
-
-
-@query("precision_at_k", f"with {SCORES_SQL}, h as ({_at_k('band')}) select cast(k as bigint) as k, round(hits / k, 6) as precision_at_k from h")
+@query("precision_at_k", f"with {SCORES_SQL}, h as ({_AT_K}) select model, k, round(hits / k, 6) as precision_at_k from h")
 def precision_at_k(spark, sf_dir):
-    return top_k_metrics(_band(spark, sf_dir), _KS).select("k", r6("precision_at_k"))
+    return top_k_metrics(order_scores(spark, sf_dir), _KS).select("model", "k", r6("precision_at_k"))
 
 
-@query("recall_at_k", f"with {SCORES_SQL}, h as ({_at_k('price')}) select cast(k as bigint) as k, round(hits / p, 6) as recall_at_k from h")
+@query("recall_at_k", f"with {SCORES_SQL}, h as ({_AT_K}) select model, k, round(hits / p, 6) as recall_at_k from h")
 def recall_at_k(spark, sf_dir):
-    return top_k_metrics(_price(spark, sf_dir), _KS).select("k", r6("recall_at_k"))
+    return top_k_metrics(order_scores(spark, sf_dir), _KS).select("model", "k", r6("recall_at_k"))
 
 
 _TYPE_TOP = " union all ".join(
-    f"""select '{t}' as anomaly_type, cast({k} as bigint) as k, round(count(*) filter (where rn <= {k} and is_anomaly) / {k}, 6) as precision_at_k,
+    f"""select model, '{t}' as anomaly_type, cast({k} as bigint) as k, round(count(*) filter (where rn <= {k} and is_anomaly) / {k}, 6) as precision_at_k,
  round(count(*) filter (where rn <= {k} and is_anomaly) / count(*) filter (where is_anomaly), 6) as recall_at_k
- from (select *, row_number() over (order by score desc, source_row_id) as rn from scores where model = 'band' and ({"true" if t == OVERALL else f"not is_anomaly or anomaly_type = '{t}'"})) t"""
+ from (select *, row_number() over (partition by model order by score desc, source_row_id) as rn from scores where {"true" if t == OVERALL else f"not is_anomaly or anomaly_type = '{t}'"}) t group by model"""
     for t in (OVERALL, *ANOMALY_TYPES)
     for k in (50, 500)
 )
@@ -135,8 +124,8 @@ _TYPE_TOP = " union all ".join(
 
 @query("top_k_by_type", f"with {SCORES_SQL} {_TYPE_TOP}")
 def top_k_by_type(spark, sf_dir):
-    found = top_k_metrics(_band(spark, sf_dir), (50, 500), ANOMALY_TYPES)
-    return found.select("anomaly_type", "k", r6("precision_at_k"), r6("recall_at_k"))
+    found = top_k_metrics(order_scores(spark, sf_dir), (50, 500), ANOMALY_TYPES)
+    return found.select("model", "anomaly_type", "k", r6("precision_at_k"), r6("recall_at_k"))
 
 
 _KINDS = f"""subsets as (select '{OVERALL}' as kind, model, score, is_anomaly from scores
@@ -181,15 +170,15 @@ def metrics_top_rate(spark, sf_dir):
     return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir)), top_rate=0.05))
 
 
-_FIXED = "best as (select distinct model, cast(300000 as double) as threshold from scores where model = 'price')"
+_FIXED = "best as (select distinct model, cast(300000 as double) as threshold from scores)"
 
 
 @query(
     "metrics_fixed_threshold",
-    f"with {SCORES_SQL}, {_KINDS}, {_FIXED}, {_METRICS} select * from metrics where model = 'price'",
+    f"with {SCORES_SQL}, {_KINDS}, {_FIXED}, {_METRICS} select * from metrics",
 )
 def metrics_fixed_threshold(spark, sf_dir):
-    return _rounded_metrics(curve_metrics(score_curve(_price(spark, sf_dir)), threshold=300000.0))
+    return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir)), threshold=300000.0))
 
 
 _LONG = " union all ".join(
