@@ -26,6 +26,7 @@ FIT_ROWS = 3_000
 CENTROIDS = 4
 DIMENSION_BITS = 15
 REJECT_SHARE = 0.5  # of the cosine that all but one in a hundred training texts of the same length exceed
+BROADCAST_LANGUAGES = 100_000
 SHORT_FLOOR = 0.03  # at most, for the shortest texts; texts in a foreign script reach about 0.01
 UNKNOWN = "und"
 PART = 1 << 20  # characters handled at a time
@@ -122,7 +123,10 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text",
     """Fit on rows with a language and a letter in the text; without any the model knows no language."""
     rows = labelled.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).where("lang is not null and t is not null")
     totals = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    share = max(20, fit_rows // max(1, totals.count()))
+    languages = totals.count()
+    share = max(20, fit_rows // max(1, languages))
+    if languages <= BROADCAST_LANGUAGES:  # one short row each; texts then need not move to their language
+        totals = F.broadcast(totals)
     draw = F.pmod(F.xxhash64("k", F.lit("fit")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     sample = rows.join(totals, "lang").where(draw * F.col("n") < share).select("lang", "t")
 
