@@ -354,3 +354,19 @@ def merge_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE = f"""with items as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+tests as (select distinct item, least(13, len(w)) as k, array_to_string(list_slice(w, j, j + least(13, len(w)) - 1), ' ') as win
+ from (select item, w, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) as j from items where len(w) > 0) t),
+docs as (select doc_id, {_WORDS} as w from documents),
+places as (select doc_id, k, j, array_to_string(list_slice(w, j, j + k - 1), ' ') as win
+ from (select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as j from docs, (select distinct k from tests) where len(w) >= k) t),
+found as (select doc_id, item, j, k from places join tests using (k, win)),
+hits as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(generate_series(j, j + k - 1)) as place from found) t group by doc_id),
+owners as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as names from found group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
+ coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
+from docs d left join hits using (doc_id) left join owners using (doc_id)"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattsift.llm.chat import repair_conversations
+from wattsift.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from wattsift.llm.decontaminate import benchmark_matches, hit_words, is_contaminated
 from wattsift.llm.html_text import extract_main_text
 from wattsift.llm.language import fit_languages, fold, predict_languages
@@ -80,7 +81,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         is_contaminated(F.col("n_words"), n_hit).alias("contaminated"),
-        "longest",
     )
 
 
@@ -97,4 +97,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op4_warc_zip": WARC_SQL, "op6_merkle": MERKLE_SQL}
+ORACLES: dict[str, str] = {"op4_warc_zip": WARC_SQL, "op6_merkle": MERKLE_SQL, "op10_decontaminate": DECONTAMINATE_SQL}
