@@ -217,7 +217,7 @@ def test_registry_run(spark, clean_frame):
     with pytest.raises(Exception):
         train(registry, item.object_key, scratch_path(spark, "models"), "2026-01-02", trees=0)
     registry.log_values(run, "metric", spark.createDataFrame([(0.5, 3)], "pr_auc double, n long"))
-    assert {r["key"]: r["value"] for r in registry.table("run_values").collect()} == {"pr_auc": "0.5", "n": "3"}
+    assert {r["key"]: r["value"] for r in registry.table("run_values").collect() if r["run_id"] == run} == {"pr_auc": "0.5", "n": "3"}
     registry.register_experiment(run, None, first, {"seed": "42"}, {"pr_auc": "0.5"})
     assert registry.table("experiments").first()["evaluation_dataset_id"] == first
     states = sorted(r["status"] for r in registry.runs().collect())
@@ -238,6 +238,9 @@ def test_versions_on_disk(spark, clean_frame):
 def test_lineage_cycle_is_an_error(spark):
     chain = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "c")], "id string, source_dataset_id string")
     assert {r["id"]: (r["root_id"], r["depth"]) for r in lineage(chain).collect()} == {x: ("a", i) for i, x in enumerate("abcd")}
+    ring = spark.createDataFrame([("a", "c"), ("b", "a"), ("c", "b")], "id string, source_dataset_id string")
+    with pytest.raises(ValueError, match="cycle"):
+        lineage(ring)
 
 
 def test_stream_scores_like_the_batch(spark, clean_frame):

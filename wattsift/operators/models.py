@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wattsift.operators import forest, neighbours, one_class
 from wattsift.operators.clean import require_labels
-from wattsift.operators.curve import OVERALL, as_scores, curve_metrics, score_curve, top_k_metrics
+from wattsift.operators.curve import OVERALL, as_scores, curve_metrics, metrics_long, score_curve, top_k_metrics
 from wattsift.operators.forest import Forest
 from wattsift.operators.prep import Preprocessor, feature_vectors, fit_preprocessor, load_preprocessor, save_preprocessor
 from wattsift.operators.registry import Registry
@@ -128,9 +128,31 @@ def evaluate(
     return metrics, top_k_metrics(scores, ks, ANOMALY_TYPES) if ks else None
 
 
-def evaluate_saved(spark: SparkSession, model_path: str, preprocessor_path: str, labelled_path: str, ks: Sequence[int] = (100,)):
-    """Evaluate persisted model tables on a persisted labelled set."""
-    return evaluate(spark.read.parquet(labelled_path), load_preprocessor(spark, preprocessor_path), forest.load_forest(spark, model_path), ks)
+def evaluate_saved(
+    spark: SparkSession, model_path: str, preprocessor_path: str, labelled_path: str, ks: Sequence[int] = (100,),
+    registry: Registry | None = None, model_id: str | None = None, dataset_id: str | None = None,
+):
+    """Evaluate persisted model tables on a persisted labelled set.
+
+    With a registry the evaluation is a run of its own: its metrics are logged and stored as an experiment.
+    """
+    labelled = spark.read.parquet(labelled_path)
+    pre, model = load_preprocessor(spark, preprocessor_path), forest.load_forest(spark, model_path)
+    if registry is None:
+        return evaluate(labelled, pre, model, ks)
+    setting = {"operation": "evaluate", "model": model_path, "labelled": labelled_path}
+    run_id = registry.start_run(setting)
+    try:
+        metrics, at_k = evaluate(labelled, pre, model, ks)
+        found = metrics_long(metrics, ("pr_auc", "roc_auc", "precision", "recall", "f1", "threshold")).collect()  # a few per type
+        values = {r["metric"]: str(r["value"]) for r in found}
+        registry.log_values(run_id, "metric", spark.createDataFrame([values]))
+        registry.register_experiment(run_id, model_id, dataset_id, setting, values)
+        registry.finish_run(run_id)
+    except Exception as failure:
+        registry.finish_run(run_id, str(failure))
+        raise
+    return metrics, at_k
 
 
 # ---- training run with its records ----
@@ -151,14 +173,19 @@ def train(registry: Registry, dataset_path: str, model_root: str, version: str,
         pre = fit_preprocessor(features, profile)
         keyed = spark.read.parquet(dataset_path)
         vectors = stored_vectors(keyed, pre, profile)
+        started = time.perf_counter()
         model = fit_model("isolation_forest", vectors, seed, **overrides)
+        measured = {"training_seconds": time.perf_counter() - started, "rows": keyed.count(), "features": len(profile.features)}
         root = f"{model_root}/version={version}"
         save_model("isolation_forest", model, f"{root}/model")
         save_preprocessor(pre, f"{root}/preprocessor")
         model_artifact = registry.register_artifact(run_id, _published(spark, f"{root}/model"), "model")
         registry.register_artifact(run_id, _published(spark, f"{root}/preprocessor"), "preprocessor")
         settings = {k: str(v) for k, v in {**CONFIGURATIONS["isolation_forest"], **overrides, "seed": seed}.items()}
-        model_id = registry.register_model(model_artifact, "isolation_forest", version, dataset_id, settings)
+        metrics = {k: str(v) for k, v in measured.items()}
+        model_id = registry.register_model(model_artifact, "isolation_forest", version, dataset_id, settings, metrics)
+        registry.log_values(run_id, "parameter", spark.createDataFrame([settings]))
+        registry.log_values(run_id, "metric", spark.createDataFrame([metrics]))
         registry.finish_run(run_id)
     except Exception as failure:
         registry.finish_run(run_id, str(failure))
