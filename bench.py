@@ -21,7 +21,7 @@ HEADLINE = (
     "context_summary", "clean_all", "normalise_shares", "csv_locale_scan", "dense_row_id", "sample_exact",
     "sample_excluding", "split_stratified", "impute_median", "freq_encode", "preprocessor_24", "pr_curve",
     "metrics_by_type", "metrics_top_rate", "top_k_by_type", "diagnostics_overall", "diagnostics_by_type", "context_means",
-    "ratio_tails", "inject_all", "inject_audit", "registry_resolve", "registry_conflicts", "lineage", "knn_join",
+    "ratio_tails", "inject_all", "inject_audit", "registry_resolve", "registry_conflicts", "lineage", "knn_join", "knn_join_distributed",
     "lof_scores", "predict_records", "stream_clean",
 )
 
