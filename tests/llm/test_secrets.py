@@ -59,7 +59,7 @@ def test_keys_hold_only_if_all_lengths_do():
 def test_encodings_of_a_key():
     wrapped = base64.encodebytes(RSA).decode()
     pem = f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped}-----END RSA PRIVATE KEY-----"
-    for text, start in ((base64.b64encode(PKCS8).decode(), 0), (f"é {pem} x", 2), (f"note {wrapped}", 5), (RSA.hex(), 0), (base64.urlsafe_b64encode(SSH).decode(), 0)):
+    for text, start in ((base64.b64encode(PKCS8).decode(), 0), (f"é {pem} x", 2), (f"note {wrapped}", 5), (f"note {wrapped}and more", 5), (RSA.hex(), 0), (base64.urlsafe_b64encode(SSH).decode(), 0)):
         keys = [s for s in secret_spans(text) if s.kind == "key"]
         assert len(keys) == 1 and keys[0].start == start, text[:40]
     for text in (base64.b64encode(PKCS8[:-3]).decode(), base64.b64encode(b"just some long plain text in base 64 here").decode(), "A" * 80):

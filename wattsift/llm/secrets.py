@@ -28,7 +28,7 @@ ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{24,}")
 PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
-WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{60,76}\r?\n)*[A-Za-z0-9+/_-]{40,}={0,2}")
+WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{0,76}={0,2}|[A-Za-z0-9+/_-]{40,}={0,2})")
 HEX_BYTES = re.compile(rb"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]+)\.(e[yw][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
@@ -175,8 +175,11 @@ def _found(data: bytes, low: bytes) -> Iterator[tuple[str, int, int, str]]:
         for m in WRAPPED.finditer(data):
             if any(a <= m.start() < b for a, b in pem):
                 continue
-            if form := key_form(unbase64(m[0])):
-                yield "key", m.start(), m.end(), form
+            whole = m[0].rstrip(b"\r\n")
+            for part in (whole, whole[: max(whole.rfind(b"\n"), 0)].rstrip(b"\r")):  # the last line may be a word that follows
+                if part and (form := key_form(unbase64(part))):
+                    yield "key", m.start(), m.start() + len(part), form
+                    break
     if b".ey" in data or b".ew" in data:
         for m in TOKEN.finditer(data):
             if form := token_form(*m.groups()):
