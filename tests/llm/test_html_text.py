@@ -33,6 +33,28 @@ def test_blocks():
     assert [b.path for b in page_blocks("<table><tr><td>a<td>b<tr><td>c</table>")] == [("table", "tr", "td")] * 3
 
 
+def test_elements_without_text_take_no_more_than_their_own():
+    for tag in ("video-player", "svg-icon", "title-bar", "select-box", "script-x", "x"):
+        assert texts(f"<article><p>a</p><{tag} src=x></{tag}><p>rest</p></article>") == ["a", "rest"], tag
+    for tag in ("<svg class=i/>", "<svg/>", "<MATH />", '<svg viewBox="0 > 1"/>'):
+        assert texts(f"<p>one {tag} two</p><p>three</p><svg><path/>gone</svg>") == ["one two", "three"], tag
+    for tag in ("template", "select", "svg", "math", "object", "canvas", "video", "audio"):
+        assert texts(f"<p>one <{tag} class=i> two</p><p>three</p>") == ["one two", "three"], tag
+        assert texts(f"<p>one <{tag}> two</p><p>three</p><{tag}>gone</{tag} ><p>four") == ["one two", "three", "four"], tag
+        assert texts(f"<p>a<{tag}>x<{tag}>y</{tag}><i>z</i></{tag}>b</p></{tag}>c") == ["ab", "c"], tag
+    assert texts("<p>one <!-- x --!> two</p><p>three<!--> four<!---> five") == ["one two", "three four five"]
+    for tag in ("script", "style", "textarea", "title", "iframe", "noscript"):
+        assert texts(f"a<{tag}>b</{tag}x><p>c</{tag} x>d") == ["ad"] and texts(f"a<{tag}>b<p>c") == ["a"], tag
+        assert texts(f"a<svg><{tag}/></svg><p>rest") == ["a", "rest"], tag
+    assert texts("a<svg><style>p > q {}</style><foreignObject><p>x</p></foreignObject><title/></svg><p>rest") == ["a", "rest"]
+    assert texts("<svg class=i><p>a</p><script>'<p>'</script>b") == ["a", "b"]
+    assert texts("<template><script>'</template>'</script>x</template>y") == ["y"]
+
+
+def test_many_open_elements_are_read_in_one_pass():
+    assert texts("<video>" * 20_000 + "<svg>" * 20_000 + "<p>rest") == ["rest"]
+
+
 def test_gradients_are_slopes_of_the_loss():
     rng = np.random.default_rng(0)
     net = BlockLabeller(3)

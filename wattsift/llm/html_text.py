@@ -31,7 +31,14 @@ TRAIN_PAGES = 1_000
 CACHED = 50_000
 BATCH_BLOCKS = 4_096
 
-SKIPPED = "script|style|noscript|template|textarea|select|svg|math|iframe|title|object|canvas|video|audio"
+#: Elements that hold no page text.  The raw ones hold no tags either and run to the page's end if they are not closed.
+RAW = "script|style|noscript|textarea|title|iframe"
+NESTED = frozenset("template select svg math object canvas video audio".split())
+#: What ends an open svg or math, where raw elements are ordinary ones and may be closed by "/>".
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split()
+)
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre search section summary table "
@@ -44,10 +51,10 @@ CLOSES = {
 }
 VOID = frozenset(("hr",))
 
-_TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({SKIPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[/!?][^>]*>""",
-    re.S | re.I,
-)
+_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+_TAG = r"""<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*)([^>]*)>|<[/!?][^>]*>"""
+_TOKEN = re.compile(rf"{_COMMENT}|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|{_TAG}", re.S | re.I)
+_FOREIGN = re.compile(rf"{_COMMENT}|<(script|style)(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*>|(?=</(?:svg|math)[\s/>])|\Z)|{_TAG}", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -59,6 +66,39 @@ class Block:
         self.text, self.path, self.tag, self.linked = text, path, tag, linked
 
 
+def page_tags(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, closing, attributes) in page order.  Comments and elements without page text are one entry with
+    an empty tag; a nested one that is never closed is its start tag alone."""
+    found: list[tuple[int, int, str, bool, str]] = []
+    open_: dict[str, list[int]] = {tag: [] for tag in NESTED}
+    at, foreign = 0, False
+    while m := (_FOREIGN if foreign else _TOKEN).search(page, at):
+        at = m.end()
+        tag, closing, names = (m[3] or m[6] or "").lower(), bool(m[2] or m[5]), m[4] or m[7] or ""
+        found.append((m.start(), at, tag, closing, names))
+        foreign_tag = tag in ("svg", "math")
+        if foreign_tag and not closing and names.endswith("/"):
+            continue
+        if foreign_tag:
+            foreign = not closing
+        elif closing and tag == "foreignobject":
+            foreign = True
+        elif foreign and (tag in ("p", "br") if closing else tag in BREAKOUT):
+            foreign = False
+        if tag in open_:
+            if not closing:
+                open_[tag].append(len(found) - 1)
+            elif open_[tag]:
+                first = open_[tag].pop()
+                found[first] = (found[first][0], at, "", False, "")
+    ended, whole = 0, []
+    for t in found:
+        if t[0] >= ended:
+            whole.append(t)
+            ended = t[1]
+    return whole
+
+
 def page_blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order: character references decoded, white space as one space, empty ones left out."""
     if not page:
@@ -85,14 +125,12 @@ def page_blocks(page: str | None) -> list[Block]:
             linked += len(text)
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        tag = m[3] or m[6]
+    for start, end, tag, closing, names in page_tags(page):
+        if start > at:
+            add(page[at:start])
+        at = end
         if not tag:
             continue
-        tag, closing, names = tag.lower(), m[2] or m[5], m[4] or m[7]
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
