@@ -66,6 +66,38 @@ def test_encodings_of_a_key():
         assert not [s for s in secret_spans(text) if s.kind == "key"]
 
 
+def keys_of(text: str) -> list[tuple[int, int, str]]:
+    return [(s.start, s.end, s.form) for s in secret_spans(text) if s.kind == "key"]
+
+
+def test_encrypted_keys_with_headers():
+    cipher = base64.encodebytes(bytes((i * 89 + 7) % 256 for i in range(300))).decode()
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n"
+    for gap in ("\n", "X-Long: a\n b\n\n", ""):
+        pem = f"-----BEGIN RSA PRIVATE KEY-----\n{head}{gap}{cipher}-----END RSA PRIVATE KEY-----"
+        for shown in (pem, pem.replace("\n", "\r\n"), pem.replace("\n", "\n    "), json.dumps(pem)[1:-1], json.dumps(json.dumps(pem))[3:-3]):
+            assert keys_of(f"é {shown} x") == [(2, 2 + len(shown), "encrypted")], shown[:120]
+            assert redact(f"é {shown} x") == "é [SECRET] x"
+    plain = f"-----BEGIN EC PRIVATE KEY-----\nComment: mine - all mine\n\n{base64.encodebytes(EC).decode()}-----END EC PRIVATE KEY-----"
+    assert keys_of(plain) == [(0, len(plain), "ec")]
+    assert not keys_of(pem.replace("ENCRYPTED", "CLEAR")) and not keys_of(pem.replace(cipher, "no - base64 here!\n"))
+    assert keys_of("-----BEGIN PRIVATE KEY----- see " + plain) == [(32, 32 + len(plain), "ec")]
+    assert not keys_of("-----BEGIN RSA PRIVATE KEY-----\n" * 20_000)
+
+
+def test_keys_in_strings_of_source_code():
+    pem = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(PKCS8).decode()}-----END PRIVATE KEY-----\n"
+    inner = pem.removesuffix("\n")
+    one = json.dumps(inner)[1:-1]
+    for shown in (one, one.replace("\\n", "\\r\\n"), one.replace("/", "\\/").replace("=", "\\u003d"), json.dumps(one)[1:-1], one.replace("\\n", "\\n\\\n"), one.replace("\\n", '\\n" +\n    "')):
+        text = f'{{"type": "service_account", "private_key": "{shown}\\n", "client_email": "a@b"}}'
+        at = text.index("-----BEGIN")
+        assert keys_of(text) == [(at, at + len(shown), "pkcs8")], shown[:120]
+        assert "MII" not in redact(text) and base64.b64encode(PKCS8).decode()[-40:-4] not in redact(text)
+    assert not keys_of(one.replace("M", "-", 3))
+    assert keys_of(inner[:28] + "\\" * 200_000 + inner[28:])[0][0] == 200_028  # the run of base64 alone
+
+
 def token(head: dict, body, signature: str = "c2ln") -> str:
     part = lambda d: base64.urlsafe_b64encode(json.dumps(d).encode()).rstrip(b"=").decode()
     return f"{part(head)}.{part(body)}.{signature}"

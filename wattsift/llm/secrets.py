@@ -27,11 +27,14 @@ BASE_KINDS = KINDS[:3]
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{24,}")
-PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
+PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----(?:BEGIN|END) ))*+)-----END \1-----")
 WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{0,76}={0,2}|[A-Za-z0-9+/_-]{40,}={0,2})")
 HEX_BYTES = re.compile(rb"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]+)\.(e[yw][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
+#: How source code and JSON write a text of several lines: pieces of strings, line ends and base64 signs as escapes.
+_PIECES = re.compile(rb"""(?<!\\)\\*+["'][\s+.,\\]*+["']""")
+_ESCAPE = re.compile(rb"(?<!\\)\\++(?:([nr])|u00(0a|0d|2b|2f|3d)|(?=[/\r\n]))", re.I)
 _HEX_RUN = bytes(104 if chr(c) in "0123456789abcdefABCDEF" else 32 for c in range(256))
 _BASE64_RUN = bytes(98 if chr(c) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" else 32 for c in range(256))
 
@@ -126,6 +129,18 @@ def unbase64(raw: bytes) -> bytes:
         return b""
 
 
+def pem_parts(raw: bytes) -> tuple[bytes, bytes]:
+    """Headers and base64 of what stands between the marks, also where line ends are escapes in a string.
+
+    Headers end at an empty line, or where there is none after the last line with a colon."""
+    raw = _ESCAPE.sub(lambda m: b"\n" if m[1] else bytes.fromhex(m[2].decode()) if m[2] else b"", _PIECES.sub(b"", raw))
+    lines = [x.strip() for x in raw.strip().splitlines()]
+    n = max((i + 1 for i, x in enumerate(lines) if b":" in x), default=0)
+    if n and b"" in lines[n:]:
+        n = lines.index(b"", n)
+    return b"\n".join(lines[:n]), b"\n".join(lines[n:])
+
+
 def _object(raw: bytes) -> dict | None:
     try:
         value = json.loads(unbase64(raw))
@@ -166,8 +181,8 @@ def _found(data: bytes, low: bytes) -> Iterator[tuple[str, int, int, str]]:
     pem: list[tuple[int, int]] = []
     if b"-----BEGIN " in data:
         for m in PEM.finditer(data):
-            body = m[2].rpartition(b"\n\n")[2] if b":" in m[2] else m[2]  # headers of an encrypted key end at an empty line
-            form = key_form(unbase64(body)) or ("encrypted" if b"ENCRYPTED" in m[2] and unbase64(body) else "")
+            headers, body = pem_parts(m[2])
+            form = key_form(raw := unbase64(body)) or ("encrypted" if raw and b"ENCRYPTED" in headers else "")
             if form:
                 pem.append(m.span())
                 yield "key", m.start(), m.end(), form
