@@ -77,6 +77,18 @@ def test_one_of_each_group_stays_with_all_columns(edge_docs, no_docs):
     assert keep_one(no_docs).count() == 0
 
 
+def test_one_row_stays_where_keys_are_repeated_or_missing(spark):
+    a, b, c = ("the cat sat on a mat and slept", "seven other words stand in this line", "nothing like the rest of them here")
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (3, b, 4), (3, b, 4), (5, c, 5), (5, c, 6), (5, c, 7), (None, c, 8)]
+    rows += [(None, "no key but three copies", 9)] * 3 + [(None, "no key and another text", 9), (2, None, 10), (2, None, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    kept = keep_one(docs)
+    assert kept.schema == docs.schema
+    found = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert found == sorted([(1, a), (2, b), (5, c), (0, "no key but three copies"), (0, "no key and another text"), (2, "")])
+    assert {r.n for r in kept.where("doc_id = 5").collect()} == {r.n for r in keep_one(docs.coalesce(1)).where("doc_id = 5").collect()}
+
+
 def test_fingerprints_do_not_depend_on_partitions(edge_docs):
     one, many = fingerprints(edge_docs.coalesce(1)), fingerprints(edge_docs.repartition(5))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattsift.llm.words import spaced_words, text_rows
+from wattsift.llm.words import free_name, spaced_words, text_rows
 from wattsift.session import materialise
 
 BITS, BLOCK = 64, 16
@@ -316,8 +316,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return prints.join(ids, "bits").select(key, shown, "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its component; all columns.  Rows without a key stay."""
-    found = near_duplicates(docs, key, text, **options)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = BUDGET, node_rows: int = NODE_ROWS) -> DataFrame:
+    """One row of every component of near-duplicate texts; all columns.
+
+    It is the row with the smallest key, of equal keys that with the smallest digest of the text; a null key comes
+    last.  Of rows equal in key and text one stays, chosen by a hash of all columns.
+    """
+    names = docs.columns
+    digest = F.coalesce(F.unhex(F.md5(F.col(text))), F.lit(b""))
+    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), digest.alias("d")).alias("row")
+    prints = materialise(fingerprints(docs.select(row, F.col(text).alias("t")), "row", "t", width), "fingerprints")
+    classes = materialise(prints.groupBy("bits").agg(F.min("row").alias("least"), F.count("*").alias("n")), "classes")
+    roots = materialise(components(near_links(classes, budget, node_rows)), "roots")
+    tied = classes.join(roots, F.col("bits") == F.col("node"))
+    named = tied.join(tied.groupBy("root").agg(F.min("least").alias("stays")), "root").select("bits", "stays")
+    lone = classes.where("n > 1").join(named, "bits", "left_anti").select("bits", F.col("least").alias("stays"))
+    found = prints.join(materialise(named.union(lone), "components"), "bits").groupBy("row", "stays").agg(F.count("*").alias("copies"))
+    one = F.col("row").eqNullSafe(F.col("stays"))
+    k, d, own = free_name(names, "_gone"), free_name(names, "_gone_digest"), free_name(names, "_digest")
+    gone = materialise(found.where(~one | (F.col("copies") > 1)).select(F.col("row.k").alias(k), F.col("row.d").alias(d), one.alias("stays")), "gone")
+    marked = docs.withColumn(own, digest)
+    same = lambda other: marked[key].eqNullSafe(other[k]) & (marked[own] == other[d])
+    rest = marked.join(drop := gone.select(k, d), same(drop), "left_anti").drop(own)
+    repeated = gone.where("stays").select(k, d)
+    if repeated.isEmpty():
+        return rest
+    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    again = marked.join(repeated, same(repeated), "left_semi")
+    first = again.groupBy(F.col(key).alias(k), F.col(own).alias(d)).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), order).alias(own))
+    return rest.unionByName(first.select(f"{own}.*"))
