@@ -3,11 +3,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from conftest_rows import rows_by
 from pyspark.sql import functions as F
 
 from wattsift.llm import language
-from wattsift.llm.language import fit_languages, fold, keep_known, ngram_counts, predict_languages
+from wattsift.llm.language import _clusters, fit_languages, fold, keep_known, ngram_counts, predict_languages
 
 
 def plain_ngrams(text: str) -> int:
@@ -55,6 +56,16 @@ def test_only_the_text_decides(spark):
     assert one == other
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_the_sample_is_bounded_and_not_empty_whatever_the_keys(spark, monkeypatch, doc_id):
+    seen = []
+    monkeypatch.setattr("wattsift.llm.language._clusters", lambda vectors, k: seen.append(len(vectors)) or _clusters(vectors, k))
+    texts = [(doc_id, f"text number {i} of {lang} " + chr(97 + i % 26) * 9, lang) for lang in ("en", "fr") for i in range(500)]
+    texts += [(doc_id, "the same text again and again", "de")] * 400
+    fit_languages(spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3), fit_rows=90)
+    assert seen == [1, 30, 30]
+
+
 def test_far_texts_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     odd = spark.createDataFrame([(1, "жыщ эюя фъх цчш " * 40), (2, "漢字仮名交文章例題 " * 40)], "doc_id long, text string")

@@ -5,8 +5,8 @@ and brought to length one.  Each language's training vectors are clustered into
 language of the centroid with the highest cosine.  A text whose cosine is far below what training texts of its length
 reach is marked as rejected.
 
-The classifier is fitted on a sample of at most about ``FIT_ROWS`` labelled rows, shared out evenly among the
-languages and drawn by a hash of the key; prediction reads every text whole.
+The classifier is fitted on a sample of at most ``FIT_ROWS`` labelled texts, or 20 of each language if that is more,
+shared out evenly among the languages and drawn by a hash of key and text; prediction reads every text whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattsift.llm.words import text_rows
@@ -120,15 +120,24 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -> LanguageModel:
-    """Fit on rows with a language and a letter in the text; without any the model knows no language."""
+    """Fit on rows with a language and a letter in the text; without any the model knows no language.
+
+    Each language gives the ``fit_rows`` / languages (20 at least) texts with the smallest hashes of key and text, or
+    all if it has fewer; rows equal in key and text count once.  So at most max(``fit_rows``, 20 x languages) texts
+    come to the driver.
+    """
     rows = labelled.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).where("lang is not null and t is not null")
-    totals = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = rows.select("lang", "t", F.xxhash64("k", "t", F.lit("fit")).alias("h"))
+    totals = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
     languages = totals.count()
     share = max(20, fit_rows // max(1, languages))
     if languages <= BROADCAST_LANGUAGES:  # one short row each; texts then need not move to their language
         totals = F.broadcast(totals)
-    draw = F.pmod(F.xxhash64("k", F.lit("fit")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = rows.join(totals, "lang").where(draw * F.col("n") < share).select("lang", "t")
+    draw = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    few = rows.join(totals, "lang").where(draw * F.col("n") < share * 1.2 + 60)  # more than ``share`` in all likelihood
+    few = few.groupBy("lang", "h").agg(F.min("t").alias("t"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h"))
+    sample = few.select("lang", "t", place.alias("place")).where(F.col("place") <= share).select("lang", "t")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
