@@ -96,6 +96,26 @@ def test_edge_rows(spark, edge_docs, no_docs, shard_words, block_bytes):
     assert dc.benchmark_matches(no_docs, benchmark, **options).count() == 0
 
 
+@pytest.mark.parametrize("item_id", [None, 5])
+def test_blocks_bound_a_hot_item_and_are_built_one_by_one(spark, edge_docs, monkeypatch, item_id):
+    events, build, write = [], dc.TestSet.__init__, dc.materialise
+    monkeypatch.setattr(dc.TestSet, "__init__", lambda self, items, window: events.append(sum(len(t or "") for _, t in items)) or build(self, items, window))
+    monkeypatch.setattr(dc, "materialise", lambda df, label: events.append(label) or write(df, label))
+    items = [(item_id, f"filler {i} of one hot item") for i in range(200)] + [(item_id, "eta theta"), (item_id, "alpha beta gamma delta")] + [(item_id, "the same row")] * 500
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    wanted = plain([d.text for d in edge_docs.collect()], [("" if i is None else str(i), t) for i, t in items], 4)
+    clean = [d for d, (n, hit, _) in zip(edge_docs.collect(), wanted, strict=True) if not (hit and 20 * hit >= n)]
+    assert len(clean) < edge_docs.count()
+    kept = dc.remove_contaminated(edge_docs, benchmark, window=4, block_bytes=1_500)
+    sizes = events[1::2]
+    assert events[0] == "test-set" and events[2::2] == ["block-hits"] * len(sizes) and len(sizes) > 2 and max(sizes) < 3_000
+    assert kept.columns == edge_docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, clean))
+    found = rows_by(dc.benchmark_matches(edge_docs, benchmark, window=4, block_bytes=1_500), "doc_id")
+    for d, (n_words, n_hit, names) in zip(edge_docs.collect(), wanted, strict=True):
+        row = found[d.doc_id].pop()
+        assert (row.n_words, sum(h.end - h.start for h in row.hits), list(row["items"])) == (n_words, n_hit, names)
+
+
 def test_no_benchmark_hits_nothing(spark, edge_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(not r.hits and r.longest is None for r in dc.benchmark_matches(edge_docs, none).collect())

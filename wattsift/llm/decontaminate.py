@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -233,14 +235,21 @@ _HITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _LONGEST = pa.struct([("words", pa.int64()), ("start", pa.int64()), ("item", pa.string()), ("item_start", pa.int64())])
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int) -> Iterator[TestSet]:
-    """The test set in blocks of about ``block_bytes``; a null item id counts as the empty one."""
+def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list[DataFrame]:
+    """Rows (item id, text) of the test set in blocks of about ``block_bytes``, dealt by a hash of both; a null item id
+    counts as the empty one.  With several blocks, rows equal in both stand there once."""
     rows = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
-    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
-    for block in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block)
-        yield TestSet([(r.i, r.t) for r in part.collect()], window)
+    size = F.sum(F.octet_length("t"))
+    if (rows.agg(size).first()[0] or 0) <= block_bytes:
+        return [rows]
+    rows = materialise(rows.distinct(), "test-set")
+    blocks = -(-(rows.agg(size).first()[0] or 0) // block_bytes) or 1
+    return [rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block) for block in range(blocks)]
+
+
+def _shared(rows: DataFrame, window: int) -> Broadcast:
+    """The test set of one block, at the executors."""
+    return rows.sparkSession.sparkContext.broadcast(TestSet([(r.i, r.t) for r in rows.collect()], window))
 
 
 def benchmark_matches(
@@ -256,8 +265,9 @@ def benchmark_matches(
     """
     kind = docs.schema[key].dataType.simpleString()
     parts = []
-    for tests in _blocks(benchmark, item, item_text, window, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(tests)
+    blocks = _blocks(benchmark, item, item_text, block_bytes)
+    for block in blocks:
+        shared = _shared(block, window)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for rows, found in _scanned(batches, 1, shared.value, shard_words):
@@ -271,9 +281,11 @@ def benchmark_matches(
                 names = [key, "n_words", "hits", "items", "longest", "_digest"]
                 yield pa.RecordBatch.from_arrays([rows.column(0), *columns, digest], names=names)
 
-        parts.append(docs.select(key, text).mapInArrow(work, f"`{key}` {kind}, {FOUND}, _digest binary"))
-    if len(parts) == 1:
-        return parts[0].drop("_digest")
+        part = docs.select(key, text).mapInArrow(work, f"`{key}` {kind}, {FOUND}, _digest binary")
+        if len(blocks) == 1:
+            return part.drop("_digest")
+        parts.append(materialise(part, "block-matches"))  # before the next block is built
+        shared.destroy()
     return _merged(parts, key)
 
 
@@ -282,7 +294,6 @@ def _merged(parts: list[DataFrame], key: str) -> DataFrame:
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    rows = materialise(rows, "block-matches")
     best = F.struct((-F.col("longest.words")).alias("a"), F.col("longest.start").alias("b"), F.col("longest.item").alias("c"), F.col("longest").alias("longest"))
     whole = rows.groupBy(key, "_digest", "n_words").agg(
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("all"),
@@ -290,14 +301,18 @@ def _merged(parts: list[DataFrame], key: str) -> DataFrame:
         F.min(F.when(F.col("longest").isNotNull(), best)).alias("best"),
         F.count("*").alias("copies"),
     )
+    copies = F.explode(F.sequence(F.lit(1), (F.col("copies") / len(parts)).cast("int")))
+    return whole.select(key, "n_words", _joined("all").alias("hits"), "items", F.col("best.longest").alias("longest"), copies.alias("_copy")).drop("_copy")
+
+
+def _joined(ranges: str) -> Column:
+    """The sorted ranges of a column as ranges that do not touch."""
     hit = "struct<start: bigint, end: bigint>"
-    joined = F.expr(
-        f"aggregate(all, cast(array() as array<{hit}>), (acc, h) -> case when size(acc) > 0 and h.start <= element_at(acc, -1).end "
+    return F.expr(
+        f"aggregate({ranges}, cast(array() as array<{hit}>), (acc, h) -> case when size(acc) > 0 and h.start <= element_at(acc, -1).end "
         f"then concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, h.end)))) "
         f"else concat(acc, array(h)) end)"
     )
-    copies = F.explode(F.sequence(F.lit(1), (F.col("copies") / len(parts)).cast("int")))
-    return whole.select(key, "n_words", joined.alias("hits"), "items", F.col("best.longest").alias("longest"), copies.alias("_copy")).drop("_copy")
 
 
 def hit_words(hits: Column) -> Column:
@@ -315,45 +330,38 @@ def remove_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns; rows without words stay.
 
-    With several blocks a row carries its hit ranges from pass to pass.
+    With several blocks each pass writes the ranges of the texts it hits, before the next block is built.
     """
-    at, names, schema = docs.columns.index(text), list(docs.columns), docs.schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    ranges_name = free_name(names, "_edges")
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.array().cast("array<bigint>").alias(ranges_name))
-    blocks = list(_shared(docs, _blocks(benchmark, item, item_text, window, block_bytes)))
-    for n, shared in enumerate(blocks):
-
-        def work(batches: Iterator[pa.RecordBatch], shared=shared, last=n == len(blocks) - 1) -> Iterator[pa.RecordBatch]:
+    at = docs.columns.index(text)
+    blocks = _blocks(benchmark, item, item_text, block_bytes)
+    if len(blocks) == 1:
+        shared = _shared(blocks[0], window)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, found in _scanned(batches, at, shared.value, shard_words):
-                edges, keep = [], []
-                for old, f in zip(part.column(part.num_columns - 1), found, strict=True):
-                    flat = old.as_py() or []
-                    ranges = merge_ranges([*zip(flat[::2], flat[1::2], strict=True), *f["hits"]])
-                    n_hit = sum(b - a for a, b in ranges)
-                    keep.append(not (n_hit > 0 and n_hit * share >= f["n_words"]))
-                    edges.append([x for r in ranges for x in r])
-                arrays = [part.column(i) for i in range(len(names))]
-                out = pa.RecordBatch.from_arrays([*arrays, pa.array(edges, pa.list_(pa.int64()))], names=[*names, ranges_name])
-                yield out.filter(pa.array(keep)) if last else out
-
-        rows = rows.mapInArrow(work, f"{fields}, `{ranges_name}` array<bigint>")
-    return rows.drop(ranges_name)
-
-
-def _shared(docs: DataFrame, sets: Iterator[TestSet]):
-    for tests in sets:
-        yield docs.sparkSession.sparkContext.broadcast(tests)
-
-
-def merge_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+                n_hit = [sum(b - a for a, b in f["hits"]) for f in found]
+                yield part.filter(pa.array([not (n > 0 and n * share >= f["n_words"]) for n, f in zip(n_hit, found, strict=True)], pa.bool_()))
+
+        return docs.mapInArrow(work, docs.schema)
+    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    texts, parts = docs.select(digest.alias("d"), F.col(text).alias("t")), []
+    for block in blocks:
+        shared = _shared(block, window)
+
+        def ranges(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for part, found in _scanned(batches, 1, shared.value, shard_words):
+                hit = [(d, f) for d, f in zip(part.column(0).to_pylist(), found, strict=True) if f["hits"]]
+                hits = pa.array([[{"start": a, "end": b} for a, b in f["hits"]] for _, f in hit], _HITS)
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in hit], pa.binary()), pa.array([f["n_words"] for _, f in hit], pa.int64()), hits], names=["d", "n_words", "hits"])
+
+        found = texts.mapInArrow(ranges, "d binary, n_words bigint, hits array<struct<start: bigint, end: bigint>>")
+        parts.append(materialise(found.groupBy("d", "n_words").agg(F.first("hits").alias("hits")), "block-hits"))  # equal texts have equal hits
+        shared.destroy()
+    whole = reduce(DataFrame.unionByName, parts).groupBy("d", "n_words").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("all"))
+    own, gone = free_name(docs.columns, "_digest"), free_name(docs.columns, "_gone")
+    hit = whole.where(is_contaminated(F.col("n_words"), hit_words(_joined("all")), share)).select(F.col("d").alias(gone))
+    marked = docs.withColumn(own, digest)
+    return marked.join(hit, marked[own] == hit[gone], "left_anti").drop(own)
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
