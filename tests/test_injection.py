@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import pytest
-from conftest import CLEAN_SCHEMA, clean_rows
 from pyspark.sql import functions as F
+from tables import CLEAN_SCHEMA, clean_rows
 
 from wattsift.operators.donors import match_donors, pool_positions
 from wattsift.operators.inject import audit_labelled, inject_anomalies
