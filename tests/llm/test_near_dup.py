@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from conftest_rows import rows_by
 
-from wattsift.llm.near_dup import components, fingerprints, keep_one, near_duplicates, near_links, simhash
+from wattsift.llm.near_dup import components, fingerprints, keep_one, near_duplicates, near_links, simhash, without_rows
 
 
 def plain_simhash(text: str | None) -> int:
@@ -89,6 +89,19 @@ def test_one_row_stays_where_keys_are_repeated_or_missing(spark):
     assert {r.n for r in kept.where("doc_id = 5").collect()} == {r.n for r in keep_one(docs.coalesce(1)).where("doc_id = 5").collect()}
 
 
+@pytest.mark.parametrize("filter_words", [1, 64, 1 << 20])
+def test_rows_leave_whatever_the_filter_says(spark, filter_words):
+    rows = [(i if i % 7 else None, bytes([i % 5]), f"text {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "k long, d binary, t string").repartition(3)
+    gone = spark.createDataFrame([(k, d) for k, d, _ in rows if k is None or k % 3 == 0], "a long, b binary").limit(90)
+    found = sorted(r.t for r in without_rows(docs, gone, [("k", "a"), ("d", "b")], filter_words).collect())
+    named = {(r.a, bytes(r.b)) for r in gone.collect()}
+    assert found == sorted(t for k, d, t in rows if (k, d) not in named)
+    assert without_rows(docs, gone.where("false"), [("k", "a"), ("d", "b")], filter_words).count() == len(rows)
+    plan = without_rows(docs, gone, [("k", "a"), ("d", "b")], filter_words)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan
+
+
 def test_fingerprints_do_not_depend_on_partitions(edge_docs):
     one, many = fingerprints(edge_docs.coalesce(1)), fingerprints(edge_docs.repartition(5))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))

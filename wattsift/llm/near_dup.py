@@ -26,6 +26,7 @@ STEP = 6  # levels by which a node too large for one task is cut
 NODE_ROWS = 200_000
 FLUSH_ROWS = 65_536
 FRONTIER = 131_072
+FILTER_WORDS = 1 << 20  # words of 64 bits in the filter of removed rows: 8 MB of bits whatever the table
 
 
 def simhash(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -316,11 +317,48 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return prints.join(ids, "bits").select(key, shown, "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = BUDGET, node_rows: int = NODE_ROWS) -> DataFrame:
+def _filter_probe(h: Column, words: int) -> tuple[Column, Column]:
+    """The word of the filter that a hash belongs to, and the three bits it sets there."""
+    shift = words.bit_length() - 1
+    mask = F.lit(0).cast("long")
+    for i in range(3):
+        place = F.shiftrightunsigned(h, shift + 6 * i).bitwiseAND(F.lit(BITS - 1)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return h.bitwiseAND(F.lit(words - 1).cast("long")), mask
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, pairs: list[tuple[str, str]], filter_words: int = FILTER_WORDS) -> DataFrame:
+    """Rows of ``docs`` that agree with no row of ``gone`` in all ``pairs`` of columns; null equals null.
+
+    One plan for every size.  The keys in ``gone`` set bits of a Bloom filter of ``filter_words`` (a power of two)
+    words, which is broadcast: at most that many rows of two integers.  Rows that miss it stay where they are; only
+    rows that hit it are dealt by key and merged with ``gone``.  Exact whatever the filter says: if ``gone`` is so
+    large that it fills the filter, all rows travel.
+    """
+    word, mask, held = (free_name([*docs.columns, *gone.columns], x) for x in ("_word", "_mask", "_held"))
+    where, bits = _filter_probe(F.xxhash64(*[F.col(g) for _, g in pairs]), filter_words)
+    filter_ = gone.select(where.alias(word), bits.alias(mask)).groupBy(word).agg(F.bit_or(mask).alias(held))
+    where, bits = _filter_probe(F.xxhash64(*[F.col(c) for c, _ in pairs]), filter_words)
+    marked = docs.withColumns({word: where, mask: bits}).join(F.broadcast(materialise(filter_, "filter")), word, "left")
+    hit = F.coalesce(F.col(held).bitwiseAND(F.col(mask)) == F.col(mask), F.lit(False))
+    missed, met = marked.where(~hit).select(*docs.columns), marked.where(hit).select(*docs.columns)
+    same = F.lit(True)
+    for c, g in pairs:
+        same = same & met[c].eqNullSafe(gone[g])
+    return missed.unionByName(met.join(gone.hint("merge"), same, "left_anti"))
+
+
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = BUDGET, node_rows: int = NODE_ROWS, filter_words: int = FILTER_WORDS
+) -> DataFrame:
     """One row of every component of near-duplicate texts; all columns.
 
     It is the row with the smallest key, of equal keys that with the smallest digest of the text; a null key comes
     last.  Of rows equal in key and text one stays, chosen by a hash of all columns.
+
+    Near means ``budget`` or fewer differing bits over shingles of ``width`` words, the reading of the fingerprint
+    query: copies with few changed words are found, looser ones (a similarity of 0.8 means some 7 bits) are not.
+    Texts that stay are not moved, but for those the filter cannot tell from removed ones (``without_rows``).
     """
     names = docs.columns
     digest = F.coalesce(F.unhex(F.md5(F.col(text))), F.lit(b""))
@@ -336,12 +374,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     k, d, own = free_name(names, "_gone"), free_name(names, "_gone_digest"), free_name(names, "_digest")
     gone = materialise(found.where(~one | (F.col("copies") > 1)).select(F.col("row.k").alias(k), F.col("row.d").alias(d), one.alias("stays")), "gone")
     marked = docs.withColumn(own, digest)
-    same = lambda other: marked[key].eqNullSafe(other[k]) & (marked[own] == other[d])
-    rest = marked.join(drop := gone.select(k, d), same(drop), "left_anti").drop(own)
-    repeated = gone.where("stays").select(k, d)
+    drop, repeated = gone.select(k, d), gone.where("stays").select(k, d)
+    rest = without_rows(marked, drop, [(key, k), (own, d)], filter_words).drop(own)
     if repeated.isEmpty():
         return rest
     order = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
-    again = marked.join(repeated, same(repeated), "left_semi")
+    again = marked.join(repeated.hint("merge"), marked[key].eqNullSafe(repeated[k]) & (marked[own] == repeated[d]), "left_semi")
     first = again.groupBy(F.col(key).alias(k), F.col(own).alias(d)).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), order).alias(own))
     return rest.unionByName(first.select(f"{own}.*"))
