@@ -16,8 +16,11 @@ from wattsift.llm.likelihood import score_texts
 from wattsift.llm.merkle import ORACLE as MERKLE_SQL
 from wattsift.llm.merkle import edit_fingerprints
 from wattsift.llm.near_dup import near_duplicates
+from wattsift.llm.one_bit import nearest_by_codes
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
+from wattsift.llm.spelling import spelling_variants
+from wattsift.llm.value_codes import books_digest, product_codes
 from wattsift.llm.warc_zip import ORACLE as WARC_SQL
 from wattsift.llm.warc_zip import round_trip
 
@@ -84,6 +87,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = product_codes(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(books_digest(books)))
+
+
+def op13_one_bit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_by_codes(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -95,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_likelihood": op9_likelihood,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling": op11_spelling,
+    "op12_value_codes": op12_value_codes,
+    "op13_one_bit": op13_one_bit,
 }
 
 ORACLES: dict[str, str] = {"op4_warc_zip": WARC_SQL, "op6_merkle": MERKLE_SQL, "op10_decontaminate": DECONTAMINATE_SQL}
