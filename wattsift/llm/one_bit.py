@@ -120,12 +120,12 @@ class Search:
 
     def __init__(self, rows: pa.Table, queries: pa.Table, centre: np.ndarray, turn: np.ndarray, k: int, sigmas: float):
         width = len(centre)
-        self.rows, self.queries, self.k, self.sigmas = _rows(rows, width), _rows(queries, width), k, sigmas
+        self.rows, self.queries, self.k, self.sigmas = _rows(rows, width), _rows(queries, width, "w"), k, sigmas
         self.length = turn.shape[0]
         code = rows.column("code").combine_chunks()
         self.code = np.frombuffer(b"".join(code.to_pylist()), np.uint8).reshape(len(code), -1)
         self.scale, self.spread = (rows.column(c).to_numpy().astype(np.float32) for c in ("scale", "spread"))
-        self.row_uid, self.query_uid = rows.column("uid").to_numpy(), queries.column("uid").to_numpy()
+        self.row_uid, self.query_uid = rows.column("uid").to_numpy(), queries.column("q").to_numpy()
         self.order = np.empty(len(self.rows), np.int64)
         id_ = rows.column("id").combine_chunks()
         self.order[pa.compute.array_sort_indices(id_, null_placement="at_end").to_numpy()] = np.arange(len(self.rows))
@@ -185,17 +185,17 @@ def _met(rows: DataFrame, queries: DataFrame, slabs: int, packs: int, centre: np
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return left.select(["uid", "id"]).slice(0, 0).append_column("q", pa.array([], pa.int64())).append_column("query_id", pa.array([], right.schema.field("id").type)).append_column("score", pa.array([], pa.float64())).select(["q", "query_id", "uid", "id", "score"])
+            return left.select(["uid", "id"]).slice(0, 0).append_column("q", pa.array([], pa.int64())).append_column("query_id", pa.array([], right.schema.field("query_id").type)).append_column("score", pa.array([], pa.float64())).select(["q", "query_id", "uid", "id", "score"])
         q, r, score = Search(left, right, centre, turn, k, sigmas).run()
         q, r = pa.array(q), pa.array(r)
         return pa.table(
-            {"q": right.column("uid").take(q), "query_id": right.column("id").take(q), "uid": left.column("uid").take(r), "id": left.column("id").take(r), "score": pa.array(score)}
+            {"q": right.column("q").take(q), "query_id": right.column("query_id").take(q), "uid": left.column("uid").take(r), "id": left.column("id").take(r), "score": pa.array(score)}
         )
 
     kind = rows.schema["id"].dataType.simpleString()
-    slab, pack = F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(slabs)).cast("int"), F.pmod(F.xxhash64("uid", F.lit(2)), F.lit(packs)).cast("int")
+    slab, pack = F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(slabs)).cast("int"), F.pmod(F.xxhash64("q", F.lit(2)), F.lit(packs)).cast("int")
     left = rows.select("uid", "id", "v", "code", "scale", "spread", slab.alias("slab"), F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack"))
-    right = queries.select("uid", "id", "v", "tau", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), pack.alias("pack"))
+    right = queries.select("q", "query_id", "w", "tau", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), pack.alias("pack"))
     n = slabs * packs  # a stated number: blocks are not put together again by size
     left, right = left.repartition(n, "slab", "pack"), right.repartition(n, "slab", "pack")
     return left.groupBy("slab", "pack").cogroup(right.groupBy("slab", "pack")).applyInArrow(work, f"q long, query_id {kind}, uid long, id {kind}, score double")
@@ -221,7 +221,7 @@ def nearest_by_codes(
     length = -(-bits * max(width, 2) // 8) * 8
     turn = rotation(width, length, seed)
     coded = materialise(one_bit_codes(vectors, centre, turn), "one-bit-codes")
-    queries = coded.where(is_query).select("uid", "id", "v")
+    queries = coded.where(is_query).select(F.col("uid").alias("q"), F.col("id").alias("query_id"), F.col("v").alias("w"))
     asked = queries.count()
     cores = spark.sparkContext.defaultParallelism
 
@@ -237,7 +237,7 @@ def nearest_by_codes(
             waiting = queries.withColumn("tau", F.lit(None).cast("double"))
         else:
             full = best.groupBy("q").agg(F.min("score").alias("tau"), F.count("*").alias("held")).where(F.col("held") >= k)
-            waiting = queries.join(full.select(F.col("q").alias("uid"), "tau"), "uid", "left")
+            waiting = queries.join(full.select("q", "tau"), "q", "left")
         found = _met(part, waiting, blocks(n * (high - low) // SHARES), max(1, -(-asked * max(width, 1) * 8 // block_bytes)), centre, turn, k, sigmas)
         place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("id"), "uid"))
         ranked = (found if best is None else best.drop("rank").unionByName(found)).withColumn("rank", place).where(F.col("rank") <= k)
