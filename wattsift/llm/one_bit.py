@@ -245,3 +245,10 @@ def nearest_by_codes(
         if high >= SHARES:
             return best.select("query_id", "rank", F.col("id").alias(key), "score")
         low, high = high, min(SHARES, high * GROWTH)
+
+
+ORACLE = """with whole as (select vec_id, cast(embedding as double[]) as v from embeddings
+ where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 20"""

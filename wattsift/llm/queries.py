@@ -16,10 +16,13 @@ from wattsift.llm.likelihood import score_texts
 from wattsift.llm.merkle import ORACLE as MERKLE_SQL
 from wattsift.llm.merkle import edit_fingerprints
 from wattsift.llm.near_dup import near_duplicates
+from wattsift.llm.one_bit import ORACLE as ONE_BIT_SQL
 from wattsift.llm.one_bit import nearest_by_codes
 from wattsift.llm.packing import pack_documents
 from wattsift.llm.secrets import BASE_KINDS, find_secrets, joined_spans
+from wattsift.llm.spelling import ORACLE as SPELLING_SQL
 from wattsift.llm.spelling import spelling_variants
+from wattsift.llm.value_codes import ORACLE as VALUE_CODES_SQL
 from wattsift.llm.value_codes import books_digest, product_codes
 from wattsift.llm.warc_zip import ORACLE as WARC_SQL
 from wattsift.llm.warc_zip import round_trip
@@ -116,4 +119,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_one_bit": op13_one_bit,
 }
 
-ORACLES: dict[str, str] = {"op4_warc_zip": WARC_SQL, "op6_merkle": MERKLE_SQL, "op10_decontaminate": DECONTAMINATE_SQL}
+ORACLES: dict[str, str] = {
+    "op4_warc_zip": WARC_SQL,
+    "op6_merkle": MERKLE_SQL,
+    "op10_decontaminate": DECONTAMINATE_SQL,
+    "op11_spelling": SPELLING_SQL,
+    "op12_value_codes": VALUE_CODES_SQL,
+    "op13_one_bit": ONE_BIT_SQL,
+}

@@ -184,3 +184,21 @@ def spelling_variants(
     )
     roots = _roots(formed.where("form is not null"))
     return formed.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+#: The check sum is worked out bit by bit: SQL has no function for it.
+ORACLE = r"""with recursive runs as (select doc_id, run, count(*) as n from (select coalesce(cast(doc_id as varchar), '') as doc_id,
+  translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents) where length(run) >= 7 group by all),
+bytes as (select *, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: case when unicode(c) < 128 then [unicode(c)] else [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] end)) as b from runs),
+sums as (select run, n, xor(list_reduce(list_prepend(4294967295::bigint, b::bigint[]), lambda c, x: xor(c >> 8, list_reduce(list_prepend(xor(c, x) & 255, range(8)), lambda d, k: case when d & 1 = 1 then xor(d >> 1, 3988292384) else d >> 1 end))), 4294967295) as h from bytes),
+spelt as (select n, case when h % 31 = 0 then left(run, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2) else run end as word from sums),
+words as (select word, cast(sum(n) as bigint) as n from spelt where length(word) >= 7 group by word having sum(n) >= 2),
+gaps as (select word, n, left(word, i) as head, substr(word, i + 2) as tail from (select word, n, unnest(range(length(word))) as i from words)),
+pairs as (select a.word, b.word as other, b.n as other_n from gaps a join gaps b on a.head = b.head and a.tail = b.tail and a.word <> b.word
+ union select g.word, w.word, w.n from gaps g join words w on w.word = g.head || g.tail
+ union select w.word, g.word, g.n from gaps g join words w on w.word = g.head || g.tail),
+near as (select word, count(*) as n_near, min({'rank': -other_n, 'form': other}) as best from pairs group by word),
+formed as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when -best.rank >= 10 * w.n then best.form end as form, case when -best.rank >= 10 * w.n then -best.rank end as form_n from words w left join near using (word)),
+chain as (select word, form as root from formed where form is not null union all select c.word, f.form from chain c join formed f on f.word = c.root where f.form is not null),
+roots as (select word, arg_max(root, n) as root from (select c.word, c.root, w.n from chain c join words w on w.word = c.root) group by word)
+select f.word, f.form, coalesce(r.root, f.word) as root, f.n, f.n_near, f.form_n from formed f left join roots r using (word)"""

@@ -196,3 +196,30 @@ def product_codes(
 def books_digest(books: np.ndarray) -> str:
     """SHA-256 of all components in decimal, by part, entry and position, joined by commas."""
     return hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+
+
+_START = f"""kept as (select vec_id, label, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as double)) as v from embeddings
+ where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+part as (select vec_id, p, list_slice(v, cast(p * len(v) // {PARTS} + 1 as bigint), cast((p + 1) * len(v) // {PARTS} as bigint)) as v from kept, range({PARTS}) r(p)),
+book0 as (select p, row_number() over (partition by p order by vec_id) - 1 as entry, v from part qualify entry < {ENTRIES})"""
+
+
+def _assigned(r: int) -> str:
+    """Squared distances as whole numbers; the entry is the remainder, so the smallest of equals wins."""
+    gap = "list_inner_product(a.v, a.v) - 2 * list_inner_product(a.v, b.v) + list_inner_product(b.v, b.v)"
+    return f"near{r} as (select a.vec_id, a.p, min(cast({gap} as bigint) * {ENTRIES} + b.entry) as best from part a join book{r} b on a.p = b.p group by a.vec_id, a.p)"
+
+
+def _moved(r: int) -> str:
+    return f"""{_assigned(r)},
+sum{r} as (select p, entry, position, cast(sum(x) as bigint) as total, count(*) as n from (select a.p, best % {ENTRIES} as entry, unnest(a.v) as x, unnest(range(len(a.v))) as position
+ from near{r} join part a using (vec_id, p)) group by p, entry, position),
+mean{r} as (select p, entry, list(cast((total - ((total % n) + n) % n) // n as double) order by position) as v from sum{r} group by p, entry),
+book{r + 1} as (select b.p, b.entry, coalesce(m.v, b.v) as v from book{r} b left join mean{r} m using (p, entry))"""
+
+
+ORACLE = f"""with {_START}, {", ".join(_moved(r) for r in range(ROUNDS))}, {_assigned(ROUNDS)},
+coded as (select vec_id, string_agg(printf('%02x', best % {ENTRIES}), '' order by p) as code, cast(sum(best // {ENTRIES}) as bigint) as error from near{ROUNDS} group by vec_id),
+digest as (select sha256(string_agg(array_to_string(list_transform(v, lambda x: cast(x as bigint)), ','), ',' order by p, entry)) as codebooks_sha256 from book{ROUNDS})
+select c.vec_id, c.code, c.error, cast(sum(c.error) over (partition by k.label) as bigint) as label_error, d.codebooks_sha256
+from coded c join kept k using (vec_id), digest d"""
