@@ -97,12 +97,12 @@ def one_bit_codes(vectors: DataFrame, centre: np.ndarray, turn: np.ndarray) -> D
     return numbered.mapInArrow(work, f"uid long, {kinds}, code binary, scale double, spread double")
 
 
-def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner product of each row of ``a`` with the same row of ``b``: components added one after the other, so
-    that equal vectors give equal sums wherever they stand."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += a[:, j] * b[:, j]
+def inner(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of columns ``i`` of ``a`` with columns ``j`` of ``b``: components added one after the other,
+    so that equal vectors give equal sums wherever they stand."""
+    total = np.zeros(len(i))
+    for x, y in zip(a, b, strict=True):
+        total += x.take(i) * y.take(j)
     return total
 
 
@@ -136,48 +136,51 @@ class Search:
         self.slack = 1e-5 * self.norm * (np.sqrt((self.rows**2).sum(1)).max(initial=0) + np.sqrt((centre**2).sum()))
         self.floor = queries.column("tau").to_numpy(zero_copy_only=False).astype(float)
         self.floor[np.isnan(self.floor)] = -np.inf
-        self.found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-
-    def _keep(self, q: np.ndarray, r: np.ndarray) -> None:
-        """Score pairs in full; keep each query's k best so far and raise its floor."""
-        for low in range(0, len(q), 1 << 18):
-            i, j = q[low : low + (1 << 18)], r[low : low + (1 << 18)]
-            score = inner(self.queries[i], self.rows[j])
+        self.across, self.asked = np.ascontiguousarray(self.rows.T), np.ascontiguousarray(self.queries.T)
+        self.found = [[np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)] for _ in range(0, len(self.queries), TILE_QUERIES)]
+
+    def _keep(self, tile: int, q: np.ndarray, r: np.ndarray) -> None:
+        """Score pairs of a tile's queries in full; keep each query's k best so far and raise its floor."""
+        first = tile * TILE_QUERIES
+        floor = self.floor[first : first + TILE_QUERIES]
+        for low in range(0, len(q), 1 << 16):
+            i, j = q[low : low + (1 << 16)], r[low : low + (1 << 16)]
+            score = inner(self.asked, i, self.across, j)
             good = score >= self.floor[i]
-            held = [np.concatenate(x) for x in zip(self.found, (i[good], j[good], score[good]), strict=True)]
+            held = [np.concatenate(x) for x in zip(self.found[tile], (i[good], j[good], score[good]), strict=True)]
             at = _best(held[0], held[2], self.order[held[1]], self.k)
-            self.found = [x[at] for x in held]
-            counts = np.bincount(self.found[0], minlength=len(self.floor))
-            least = np.full(len(self.floor), np.inf)
-            np.minimum.at(least, self.found[0], self.found[2])
-            full = counts >= self.k
-            self.floor[full] = np.maximum(self.floor[full], least[full])
+            self.found[tile] = q_, _, score = [x[at] for x in held]
+            least = np.full(len(floor), np.inf)
+            np.minimum.at(least, q_ - first, score)
+            full = np.bincount(q_ - first, minlength=len(floor)) >= self.k
+            floor[full] = np.maximum(floor[full], least[full])
 
     def run(self) -> list[np.ndarray]:
         """(query, row, score) arrays; places within the block."""
         for low in range(0, len(self.rows), TILE_ROWS):
             rows = slice(low, min(low + TILE_ROWS, len(self.rows)))
             signs = np.unpackbits(self.code[rows], axis=1, count=self.length).astype(np.float32) * 2 - 1
-            for first in range(0, len(self.queries), TILE_QUERIES):
-                self._tile(signs, rows, slice(first, min(first + TILE_QUERIES, len(self.queries))))
-        return self.found
+            for tile in range(len(self.found)):
+                self._tile(tile, signs, rows)
+        return [np.concatenate(x) for x in zip(*self.found, strict=True)]
 
-    def _tile(self, signs: np.ndarray, rows: slice, queries: slice) -> None:
+    def _tile(self, tile: int, signs: np.ndarray, rows: slice) -> None:
+        first = tile * TILE_QUERIES
+        queries = slice(first, min(first + TILE_QUERIES, len(self.queries)))
         estimate = (self.turned[queries] @ signs.T) * self.scale[rows] + self.base[queries, None].astype(np.float32)
         estimate[self.query_uid[queries, None] == self.row_uid[None, rows]] = -np.inf
         open_ = np.flatnonzero(np.isneginf(self.floor[queries]))
         if len(open_) and self.k < estimate.shape[1]:  # no k-th best yet: score those with the highest estimates first
-            top = np.argpartition(-estimate[open_], self.k, axis=1)[:, : self.k]
+            top = np.argpartition(estimate[open_], -self.k, axis=1)[:, -self.k :]
             q, r = np.repeat(open_, self.k), top.ravel()
             real = np.isfinite(estimate[q, r])
-            self._keep(q[real] + queries.start, r[real] + rows.start)
-        reach = (self.norm[queries, None] * self.sigmas * self.spread[None, rows]).astype(np.float32)
-        likely = np.isfinite(estimate) & (estimate + reach >= (self.floor[queries] - self.slack[queries])[:, None])
-        known = self.found[0] * len(self.rows) + self.found[1]
+            self._keep(tile, q[real] + first, r[real] + rows.start)
+            estimate[q, r] = -np.inf  # scored
+        needed = (self.floor[queries] - self.slack[queries]).astype(np.float32)
+        estimate += self.sigmas * self.norm[queries, None].astype(np.float32) * self.spread[None, rows]
+        likely = (estimate >= needed[:, None]) & np.isfinite(estimate)
         q, r = np.nonzero(likely)
-        q, r = q + queries.start, r + rows.start
-        new = ~np.isin(q * len(self.rows) + r, known[(self.found[1] >= rows.start) & (self.found[1] < rows.stop)])
-        self._keep(q[new], r[new])
+        self._keep(tile, q + first, r + rows.start)
 
 
 def _met(rows: DataFrame, queries: DataFrame, slabs: int, packs: int, centre: np.ndarray, turn: np.ndarray, k: int, sigmas: float) -> DataFrame:
