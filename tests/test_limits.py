@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattsift.operators.curve import as_scores, overall_diagnostics, score_curve, top_k_metrics, top_rate_threshold, type_diagnostics
-from wattsift.operators.forest import fit_forest, tree_samples
+from wattsift.operators.forest import fit_forest, tree_draws, tree_samples
 from wattsift.operators.models import evaluate_saved, fit_model, row_vectors, records_from_json, save_model, train
 from wattsift.operators.prep import fit_preprocessor, save_preprocessor
 from wattsift.operators.registry import Registry
@@ -65,6 +65,19 @@ def test_small_tables_are_drawn_whole(spark):
     assert sorted((r["tree"], r["count"]) for r in rows) == [(0, 20), (1, 20), (2, 20)]
 
 
+def test_sparse_draws_are_even_over_rows_and_trees(spark):
+    data = spark.range(20_000).selectExpr("id as row_id", "array(double(id)) as features")
+    drawn = tree_draws(data, 50, 0.02, 3, "row_id").select("row_id", F.explode("draws").alias("e")).select("row_id", "e.*").toPandas()
+    assert not drawn.duplicated(["row_id", "tree"]).any()
+    expected = 20_000 * (1 - math.exp(-0.02))
+    assert (abs(drawn.groupby("tree").size() - expected) < 6 * expected**0.5).all() and drawn.tree.nunique() == 50
+    per_row = drawn.groupby("row_id").size().reindex(range(20_000), fill_value=0)
+    assert abs(per_row.var() / (50 * (1 - math.exp(-0.02))) - math.exp(-0.02)) < 0.1  # independent trees
+    assert abs((drawn["hash"] / 2.0**63).mean() - 0.5) < 0.01
+    pairs = drawn.merge(drawn, on="row_id").query("tree_x == 0 and tree_y == 1")
+    assert len(pairs) < 40  # about 8 rows are in both of two trees
+
+
 @pytest.mark.parametrize("text", ["{broken", "[1,2]", "", None, '"x"', "{\"electricite_pct\": \"many\"}"])
 def test_what_is_no_record_raises(spark, text):
     texts = spark.createDataFrame([(text,)], "body string")

@@ -1,9 +1,9 @@
 """Isolation forest (Liu, Ting and Zhou 2008) with trees grown and applied by Spark tasks.
 
-Each tree needs only a few hundred rows, so the table is read to pick a bounded random pool, rows are
-sent to their trees by one join, and groups of trees grow side by side.  The fitted forest is a table
-of nodes.  Scoring is a narrow map over Arrow batches with the nodes (bounded by trees x subsample)
-shipped once per executor.
+Each tree takes a few hundred random rows of the whole table.  One hash of a row says how many draws fall on
+it, for most rows of a large table none, and only those draws are made.  Groups of trees grow side by side.
+The fitted forest is a table of nodes.  Scoring is a narrow map over Arrow batches with the nodes (bounded by
+trees x subsample) shipped once per executor.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,6 +28,7 @@ from wattsift.session import materialise
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, size int, depth int"
 META_SCHEMA = "trees int, subsample int, features int, seed long, contamination double, offset double"
 TREES_PER_GROUP = 25
+_TOP = (1 << 63) - 1  # hashes are numbers from 0 to this
 
 
 @dataclass(frozen=True)
@@ -96,14 +99,49 @@ def _grow(trees: np.ndarray, values: np.ndarray, seed: int, limit: int) -> pd.Da
     return pd.concat(found, ignore_index=True)
 
 
+def _poisson_steps(mean: float) -> list[int]:
+    """63-bit bounds: a uniform number has passed as many of them as a Poisson draw of this mean is high."""
+    steps, term, total = [], math.exp(-mean), 0.0
+    while total + term < 1.0 and (not steps or steps[-1] < _TOP):
+        total += term
+        steps.append(min(int(total * (_TOP + 1)), _TOP))
+        term *= mean / len(steps)
+        if len(steps) > mean and term < 2.0**-63:
+            break
+    return steps
+
+
+def tree_draws(data: DataFrame, trees: int, share: float, seed: int, row_id: str) -> DataFrame:
+    """Adds ``draws``: (tree, hash) of every tree the row may go to, each tree with a chance of about ``share``.
+
+    The number of draws of a row is Poisson with mean trees x share, by inversion of one hash; each draw falls on any
+    tree, and of two on one tree the first counts.  So trees are independent of each other, rows are alike, and the
+    order of the hashes within a tree is a random order.  A table so small that most trees want most of its rows
+    (``share`` above a quarter) gets a draw for each row and tree instead.
+    """
+    key = F.col(row_id).cast("string")
+
+    def hashed(*what) -> Column:
+        return F.xxhash64(F.lit(seed), *what, key).bitwiseAND(F.lit(_TOP))
+
+    if share > 0.25:
+        entries = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), hashed(t).alias("hash")))
+        return data.withColumn("draws", F.filter(entries, lambda e: e["hash"] <= F.lit(min(int(share * (1 << 63)), _TOP))))
+    chance = hashed(F.lit("draws"))
+    steps = _poisson_steps(trees * share)
+    many = reduce(add, [(chance >= F.lit(b)).cast("int") for b in steps])
+    drawn = data.where(chance >= F.lit(steps[0])).withColumn("draws", F.sequence(F.lit(1), many))
+    tree = lambda n: F.pmod(hashed(F.lit("tree"), n), F.lit(trees)).cast("int")
+    drawn = drawn.withColumn("draws", F.transform("draws", lambda n: F.struct(tree(n).alias("tree"), hashed(F.lit("place"), n).alias("hash"))))
+    first = F.filter("draws", lambda e, i: ~F.exists(F.slice("draws", F.lit(1), i), lambda x: x["tree"] == e["tree"]))
+    return drawn.withColumn("draws", first)
+
+
 def tree_samples(data: DataFrame, trees: int, subsample: int, total: int, seed: int, row_id: str) -> DataFrame:
     """(tree, features): ``subsample`` random rows of the table for every tree, the same under any partitioning."""
     share = min(1.0, (2.0 * subsample + 64.0) / total)
-    key = F.col(row_id).cast("string")
-    hashed = lambda t: F.xxhash64(F.lit(seed), t, key).bitwiseAND(F.lit((1 << 63) - 1))
-    entries = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), hashed(t).alias("hash")))
-    low = F.filter(entries, lambda e: e["hash"] <= F.lit(min(int(share * (1 << 63)), (1 << 63) - 1)))
-    rows = data.select(F.explode(low).alias("e"), "features", F.col(row_id).alias("__id")).select("e.tree", "e.hash", "features", "__id")
+    rows = data.select("features", F.col(row_id).alias("__id"))
+    rows = tree_draws(rows, trees, share, seed, "__id").select(F.explode("draws").alias("e"), "features", "__id").select("e.tree", "e.hash", "features", "__id")
     place = F.row_number().over(Window.partitionBy("tree").orderBy("hash", "__id"))
     return rows.withColumn("__place", place).filter(F.col("__place") <= subsample).select("tree", "features")
 
@@ -119,9 +157,9 @@ def fit_forest(
 ) -> Forest:
     """``data``: row id and ``features`` array<double>.
 
-    Every tree draws ``max_samples`` rows of the whole table without replacement: each row has a hash per
-    tree, and a tree takes the rows with its smallest hashes.  Only hashes below a bound that lets about
-    twice as many through are looked at, so what travels does not grow with the table.
+    Every tree draws ``max_samples`` rows of the whole table without replacement: it takes the rows with the
+    smallest hashes among about twice as many that were drawn for it (``tree_draws``), so what travels does not
+    grow with the table, and neither does the work per row grow with the number of trees.
     """
     spark = data.sparkSession
     total, width = data.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
