@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattsift.operators import forest, neighbours, one_class
+from wattsift.operators import forest, neighbours, one_class, one_class_dual
 from wattsift.operators.clean import require_labels
 from wattsift.operators.curve import OVERALL, as_scores, curve_metrics, metrics_long, score_curve, top_k_metrics
 from wattsift.operators.forest import Forest
@@ -26,9 +26,16 @@ CONFIGURATIONS: dict[str, dict[str, Any]] = {
     "isolation_forest": {"trees": 200, "max_samples": 256, "contamination": 0.05},
     "lof": {"k": 35, "contamination": 0.05},
     "one_class_svm": {"nu": 0.05},
+    "one_class_dual": {"nu": 0.05},
 }
-_SAVE = {"isolation_forest": forest.save_forest, "lof": neighbours.save_outlier_factor, "one_class_svm": one_class.save_one_class}
-_LOAD = {"isolation_forest": forest.load_forest, "lof": neighbours.load_outlier_factor, "one_class_svm": one_class.load_one_class}
+_SAVE = {
+    "isolation_forest": forest.save_forest, "lof": neighbours.save_outlier_factor, "one_class_svm": one_class.save_one_class,
+    "one_class_dual": one_class_dual.save_one_class_dual,
+}
+_LOAD = {
+    "isolation_forest": forest.load_forest, "lof": neighbours.load_outlier_factor, "one_class_svm": one_class.load_one_class,
+    "one_class_dual": one_class_dual.load_one_class_dual,
+}
 
 
 def fit_model(name: str, vectors: DataFrame, seed: int = 42, **overrides: Any):
@@ -38,6 +45,8 @@ def fit_model(name: str, vectors: DataFrame, seed: int = 42, **overrides: Any):
         return forest.fit_forest(vectors, seed=seed, row_id="row_id", **options)
     if name == "lof":
         return neighbours.fit_outlier_factor(vectors, seed=seed, **options)
+    if name == "one_class_dual":
+        return one_class_dual.fit_one_class_dual(vectors, seed=seed, **options)
     return one_class.fit_one_class(vectors, seed=seed, **options)
 
 
@@ -49,7 +58,8 @@ def anomaly_scores(name: str, model: Any, vectors: DataFrame) -> DataFrame:
     if name == "lof":
         scored = neighbours.score_outlier_factor(vectors, model)
         return scored.select("row_id", (-F.col("score_samples")).alias("score"))
-    scored = one_class.score_one_class(vectors.select("row_id", "features"), model)
+    score = one_class_dual.score_one_class_dual if name == "one_class_dual" else one_class.score_one_class
+    scored = score(vectors.select("row_id", "features"), model)
     return scored.select("row_id", (-F.col("decision")).alias("score"))
 
 
@@ -205,26 +215,52 @@ def compare_models(
     model_root: str | None = None,
     profile: Profile = ENERGY,
     overrides: dict[str, dict[str, Any]] | None = None,
+    registry: Registry | None = None,
+    dataset_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(results per model, long score table): fit on clean rows, score labelled rows, top-rate threshold.
 
-    Only scores are kept per model; all metrics come from one curve grouped by model.
+    Only scores are kept per model; all metrics come from one curve grouped by model.  With ``model_root`` each model
+    is saved there and scored as read back.  With a registry the comparison is a run, and each model an experiment
+    of it on ``dataset_id``.
     """
+    if registry is None:
+        return _compare(clean, labelled, names, seed, top_rate, model_root, profile, overrides or {})
+    setting = {"operation": "compare", "seed": str(seed), "top_rate": str(top_rate), "models": ",".join(names)}
+    run_id = registry.start_run(setting)
+    try:
+        results, long = _compare(clean, labelled, names, seed, top_rate, model_root, profile, overrides or {})
+        for r in results.collect():  # one per model
+            options = {**CONFIGURATIONS[r["model"]], **(overrides or {}).get(r["model"], {}), "model": r["model"], "seed": seed}
+            measured = {**r["test_metrics"].asDict(), **r["configuration"].asDict()}
+            registry.register_experiment(run_id, None, dataset_id, {k: str(v) for k, v in options.items()}, {k: str(v) for k, v in measured.items()})
+        registry.finish_run(run_id)
+    except Exception as failure:
+        registry.finish_run(run_id, str(failure))
+        raise
+    return results, long
+
+
+def _compare(clean, labelled, names, seed, top_rate, model_root, profile, overrides) -> tuple[DataFrame, DataFrame]:
     require_labels(labelled)
     spark = clean.sparkSession
     pre = fit_preprocessor(clean, profile)
+    if model_root:
+        save_preprocessor(pre, f"{model_root}/preprocessor")
     train_rows = stored_vectors(clean, pre, profile)
     test_rows = stored_vectors(labelled, pre, profile, ("is_anomaly", "anomaly_type"))
     scores: DataFrame | None = None
     timings = []
     for name in names:
         started = time.perf_counter()
-        model = fit_model(name, train_rows, seed, **(overrides or {}).get(name, {}))
+        model = fit_model(name, train_rows, seed, **overrides.get(name, {}))
         fitted = time.perf_counter()
-        part = materialise(anomaly_scores(name, model, test_rows).withColumn("model", F.lit(name)), f"scores-{name}")
-        timings.append((name, fitted - started, time.perf_counter() - fitted))
         if model_root:
             save_model(name, model, f"{model_root}/{name}")
+            model = load_model(name, spark, f"{model_root}/{name}")
+            saved = time.perf_counter()
+        part = materialise(anomaly_scores(name, model, test_rows).withColumn("model", F.lit(name)), f"scores-{name}")
+        timings.append((name, fitted - started, time.perf_counter() - (saved if model_root else fitted)))
         scores = part if scores is None else scores.unionByName(part)
     labels = test_rows.select("row_id", "is_anomaly", "anomaly_type")
     long = materialise(as_scores(scores.join(labels, "row_id"), row_id="row_id"), "scores")

@@ -2,6 +2,7 @@
 
 from wattsift.plans import (  # noqa: F401
     cleaning_queries,
+    fixed_model_queries,
     injection_queries,
     metric_queries,
     model_queries,

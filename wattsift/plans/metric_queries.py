@@ -128,18 +128,18 @@ def top_k_by_type(spark, sf_dir):
     return found.select("model", "anomaly_type", "k", r6("precision_at_k"), r6("recall_at_k"))
 
 
-_KINDS = f"""subsets as (select '{OVERALL}' as kind, model, score, is_anomaly from scores
+KINDS = f"""subsets as (select '{OVERALL}' as kind, model, score, is_anomaly from scores
  {" ".join(f"union all select '{t}', model, score, is_anomaly from scores where not is_anomaly or anomaly_type = '{t}'" for t in ANOMALY_TYPES)}),
  hist as (select kind, model, score, count(*) filter (where is_anomaly) as pos, count(*) filter (where not is_anomaly) as neg from subsets group by kind, model, score),
  curve as (select *, sum(pos) over w as cum_pos, sum(neg) over w as cum_neg, sum(pos) over (partition by kind, model) as p, sum(neg) over (partition by kind, model) as n
   from hist window w as (partition by kind, model order by score desc))"""
 
-_BEST = f"""best as (select model, score as threshold from (select *, row_number() over (partition by model order by {_F1} desc, score) as rn
+BEST = f"""best as (select model, score as threshold from (select *, row_number() over (partition by model order by {_F1} desc, score) as rn
  from curve where kind = '{OVERALL}') t where rn = 1)"""
 _TOP = """best as (select model, min(score) as threshold from (select *, row_number() over (partition by model order by score desc) as rn,
  greatest(1, round_even(count(*) over (partition by model) * 0.05, 0)) as k from scores) t where rn <= k group by model)"""
 
-_METRICS = f"""aucs as (select kind, model, max(p) as p, max(n) as n, {_AP}, {_AUC} from curve group by kind, model),
+METRICS = f"""aucs as (select kind, model, max(p) as p, max(n) as n, {_AP}, {_AUC} from curve group by kind, model),
  hits as (select kind, model, threshold, coalesce(sum(pos) filter (where score >= threshold), 0) as tp, coalesce(sum(neg) filter (where score >= threshold), 0) as fp
   from hist join best using (model) group by kind, model, threshold),
  metrics as (select model, kind as anomaly_type, cast(p + n as bigint) as "rows", cast(p as bigint) as anomaly_count, round(p / (p + n), 6) as anomaly_rate, pr_auc, roc_auc,
@@ -155,17 +155,17 @@ def _rounded_metrics(metrics):
     )
 
 
-@query("metrics_overall", f"with {SCORES_SQL}, {_KINDS}, {_BEST}, {_METRICS} select * from metrics where anomaly_type = '{OVERALL}'")
+@query("metrics_overall", f"with {SCORES_SQL}, {KINDS}, {BEST}, {METRICS} select * from metrics where anomaly_type = '{OVERALL}'")
 def metrics_overall(spark, sf_dir):
     return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir), ()), ()))
 
 
-@query("metrics_by_type", f"with {SCORES_SQL}, {_KINDS}, {_BEST}, {_METRICS} select * from metrics")
+@query("metrics_by_type", f"with {SCORES_SQL}, {KINDS}, {BEST}, {METRICS} select * from metrics")
 def metrics_by_type(spark, sf_dir):
     return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir))))
 
 
-@query("metrics_top_rate", f"with {SCORES_SQL}, {_KINDS}, {_TOP}, {_METRICS} select * from metrics")
+@query("metrics_top_rate", f"with {SCORES_SQL}, {KINDS}, {_TOP}, {METRICS} select * from metrics")
 def metrics_top_rate(spark, sf_dir):
     return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir)), top_rate=0.05))
 
@@ -175,7 +175,7 @@ _FIXED = "best as (select distinct model, cast(300000 as double) as threshold fr
 
 @query(
     "metrics_fixed_threshold",
-    f"with {SCORES_SQL}, {_KINDS}, {_FIXED}, {_METRICS} select * from metrics",
+    f"with {SCORES_SQL}, {KINDS}, {_FIXED}, {METRICS} select * from metrics",
 )
 def metrics_fixed_threshold(spark, sf_dir):
     return _rounded_metrics(curve_metrics(score_curve(order_scores(spark, sf_dir)), threshold=300000.0))
@@ -187,7 +187,7 @@ _LONG = " union all ".join(
 )
 
 
-@query("metrics_long", f"with {SCORES_SQL}, {_KINDS}, {_BEST}, {_METRICS} {_LONG}")
+@query("metrics_long", f"with {SCORES_SQL}, {KINDS}, {BEST}, {METRICS} {_LONG}")
 def metrics_long_rows(spark, sf_dir):
     long = metrics_long(curve_metrics(score_curve(order_scores(spark, sf_dir))), _METRIC_COLUMNS)
     return long.select("model", "metric", r6("value"))
@@ -216,7 +216,7 @@ _SUMMARY = """summary as (select model, round(quantile_cont(score, 0.05) filter
 
 @query(
     "diagnostics_overall",
-    f"""with {SCORES_SQL}, {_KINDS}, {_TOP}, {_METRICS}, {_SUMMARY} select model, anomaly_count, anomaly_rate, pr_auc, roc_auc,
+    f"""with {SCORES_SQL}, {KINDS}, {_TOP}, {METRICS}, {_SUMMARY} select model, anomaly_count, anomaly_rate, pr_auc, roc_auc,
  "precision" as top_rate_precision, recall as top_rate_recall, threshold, summary.* exclude (model) from metrics join summary using (model)
  where anomaly_type = '{OVERALL}'""",
 )
@@ -242,14 +242,14 @@ def _rounded_types(found):
     return found.select(*[c if c in plain else F.round(c, 5 if c in r5 else 6).alias(c) for c in found.columns])
 
 
-@query("diagnostics_by_type", f"with {SCORES_SQL}, {_KINDS}, {_TOP}, {_METRICS}, {_LIFTS} select * from by_type")
+@query("diagnostics_by_type", f"with {SCORES_SQL}, {KINDS}, {_TOP}, {METRICS}, {_LIFTS} select * from by_type")
 def diagnostics_by_type(spark, sf_dir):
     return _rounded_types(type_diagnostics(order_scores(spark, sf_dir)))
 
 
 @query(
     "hardest_type",
-    f"""with {SCORES_SQL}, {_KINDS}, {_TOP}, {_METRICS}, {_LIFTS} select * exclude (rn) from (select *, row_number() over (partition by model
+    f"""with {SCORES_SQL}, {KINDS}, {_TOP}, {METRICS}, {_LIFTS} select * exclude (rn) from (select *, row_number() over (partition by model
  order by roc_auc, score_lift_vs_normals, anomaly_type) as rn from by_type) t where rn = 1""",
 )
 def hardest_type(spark, sf_dir):

@@ -136,7 +136,7 @@ def impute_median(spark, sf_dir):
 
 
 _CELLS = " union all ".join(f"select '{c}' as feature, cast({c} as varchar) as value from clean" for c in P.categoricals)
-_CATEGORIES = f"""{CLEAN}, cells as ({_CELLS}),
+CATEGORIES = f"""{CLEAN}, cells as ({_CELLS}),
  counted as (select feature, value, count(*) as n from cells group by feature, value),
  modes as (select feature, value as mode from (select *, row_number() over (partition by feature order by n desc, value) as rn
   from counted where value is not null) t where rn = 1),
@@ -144,12 +144,12 @@ _CATEGORIES = f"""{CLEAN}, cells as ({_CELLS}),
  freq as (select feature, value, sum(n) / sum(sum(n)) over (partition by feature) as frequency, sum(n) as n from filled group by feature, value)"""
 
 
-@query("impute_mode", f"with {_CATEGORIES} select feature, mode from modes")
+@query("impute_mode", f"with {CATEGORIES} select feature, mode from modes")
 def impute_mode(spark, sf_dir):
     return category_modes(category_counts(clean_energy(spark, sf_dir), P.categoricals))
 
 
-@query("freq_encode", f"with {_CATEGORIES} select feature, value, round(frequency, 9) as frequency from freq")
+@query("freq_encode", f"with {CATEGORIES} select feature, value, round(frequency, 9) as frequency from freq")
 def freq_encode(spark, sf_dir):
     counts = category_counts(clean_energy(spark, sf_dir), P.categoricals)
     return category_frequencies(counts).select("feature", "value", F.round("frequency", 9).alias("frequency"))
@@ -179,11 +179,11 @@ def freq_encode_unseen(spark, sf_dir):
     return coded.select("source_row_id", *[F.round(c, 9).alias(c) for c in P.categoricals])
 
 
-def _scaled(value: str, mean: str, deviation: str) -> str:
+def scaled_sql(value: str, mean: str, deviation: str) -> str:
     return f"({value} - {mean}) / case when {deviation} <= 1e-14 then 1 else {deviation} end"
 
 
-_ENCODED = f"""{_CATEGORIES},
+ENCODED = f"""{CATEGORIES},
  coded as (select clean.*, {", ".join(f"f{i}.frequency as k{i}" for i in range(len(P.categoricals)))} from clean
  {" ".join(f"join freq f{i} on f{i}.feature = '{c}' and f{i}.value = coalesce(cast(clean.{c} as varchar), (select mode from modes where feature = '{c}'))" for i, c in enumerate(P.categoricals))}),
  meds as (select {", ".join(f"median({c}) as {c}" for c in P.numeric)} from clean),
@@ -193,10 +193,10 @@ _ENCODED = f"""{_CATEGORIES},
 
 @query(
     "preprocessor_24",
-    f"""with {_ENCODED}, moments as (select {", ".join(f"avg(k{i}) as mk{i}, stddev_pop(k{i}) as sk{i}" for i in range(len(P.categoricals)))},
+    f"""with {ENCODED}, moments as (select {", ".join(f"avg(k{i}) as mk{i}, stddev_pop(k{i}) as sk{i}" for i in range(len(P.categoricals)))},
  {", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in P.numeric)} from full_rows)
- select source_row_id, {", ".join(f"round({_scaled(f'k{i}', f'mk{i}', f'sk{i}')}, 5) as {c}" for i, c in enumerate(P.categoricals))},
- {", ".join(f"round({_scaled(c, f'm_{c}', f's_{c}')}, 5) as {c}" for c in P.numeric)} from full_rows, moments""",
+ select source_row_id, {", ".join(f"round({scaled_sql(f'k{i}', f'mk{i}', f'sk{i}')}, 5) as {c}" for i, c in enumerate(P.categoricals))},
+ {", ".join(f"round({scaled_sql(c, f'm_{c}', f's_{c}')}, 5) as {c}" for c in P.numeric)} from full_rows, moments""",
 )
 def preprocessor_24(spark, sf_dir):
     clean = clean_energy(spark, sf_dir)
