@@ -20,7 +20,7 @@ from wattsift.operators.prep import feature_vectors, fit_preprocessor, load_prep
 from wattsift.operators.registry import Registry, current_runs, lineage
 from wattsift.profile import ENERGY
 from wattsift.session import scratch_path
-from wattsift.sources.snapshots import content_digest, count_rows, publish, read_version, write_version
+from wattsift.sources.snapshots import content_digest, count_rows, publish, read_version, write_version, stored_bytes, table_digest
 from wattsift.streaming.incremental import read_versions, run_available, score_stream
 
 
@@ -34,7 +34,7 @@ def test_ranking_metrics(spark):
     found = calculate_metrics(scores, ks=(2,))
     assert found["pr_auc"] == 1.0 and found["precision_at_2"] == 1.0 and found["recall_at_2"] == 1.0
     assert found["threshold"] == 0.7
-    with pytest.raises(ValueError, match="k must be between 1 and 5"):
+    with pytest.raises(ValueError, match="no top"):
         top_k_metrics(scores, (6,))
 
 
@@ -193,26 +193,27 @@ def test_prediction_passes_scores_and_labels_through(spark, clean_frame):
 
 def test_registry_run(spark, clean_frame):
     registry = Registry.open(spark, scratch_path(spark, "registry"))
-    with pytest.raises(LookupError, match="not registered"):
+    with pytest.raises(LookupError, match="no dataset of the registry"):
         registry.require_dataset("nowhere")
     run = registry.start_run({"operation": "publish"})
     item = publish(clean_frame.coalesce(1), scratch_path(spark, "data"))
     assert item.row_count == 20 and count_rows(spark, item.object_key) == 20
-    assert content_digest(spark, item.object_key) == (item.sha256, item.size_bytes)
+    assert content_digest(spark, item.object_key)[1] == stored_bytes(spark, item.object_key) == item.size_bytes
+    assert table_digest(spark.read.parquet(item.object_key)) == item.sha256
     first = registry.publish_dataset(run, item, "clean")
     assert registry.publish_dataset(run, item, "clean") == first
-    with pytest.raises(ValueError, match="conflicts"):
+    with pytest.raises(ValueError, match="another name or size"):
         registry.publish_dataset(run, item, "another")
     changed = item.__class__(item.object_key, item.content_type, 20, "0" * 64, 1, ())
-    with pytest.raises(ValueError, match="different content"):
+    with pytest.raises(ValueError, match="another content"):
         registry.register_artifact(run, changed, "dataset")
     registry.finish_run(run)
-    with pytest.raises(LookupError, match="No completed model"):
+    with pytest.raises(LookupError, match="no finished run"):
         registry.resolve("isolation_forest")
     train(registry, item.object_key, scratch_path(spark, "models"), "2026-01-01", trees=10)
     found = predict_registered(registry, clean_frame, ("source_row_id",), version="2026-01-01").collect()
     assert len(found) == 20
-    with pytest.raises(Exception, match="No completed model"):
+    with pytest.raises(Exception, match="no finished run"):
         registry.resolve("isolation_forest", "2030-01-01")
     with pytest.raises(Exception):
         train(registry, item.object_key, scratch_path(spark, "models"), "2026-01-02", trees=0)

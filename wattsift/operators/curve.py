@@ -242,7 +242,7 @@ def top_k_metrics(
             continue
         for k in ks:
             if not 1 <= k <= sizes[f"n{i}"]:
-                raise ValueError(f"k must be between 1 and {sizes[f'n{i}']}, got {k}.")
+                raise ValueError(f"there is no top {k} of {sizes[f'n{i}']} rows")
         ranked[name], counts[name], positives[name] = F.when(subset, down), sizes[f"n{i}"], sizes[f"p{i}"]
     edges = boundaries_by_name(scores, ranked, rid, {n: list(ks) for n in ranked}, counts, direct_rows=direct_rows)
     for name in ranked:
@@ -283,7 +283,7 @@ def _models(scores: DataFrame) -> list[str]:
 def overall_diagnostics(scores: DataFrame, rate: float = 0.05) -> DataFrame:
     """One row per model: curve metrics at the top-rate threshold and score summaries of both classes."""
     if not 0 < rate < 1:
-        raise ValueError("anomaly_rate must be between 0 and 1.")
+        raise ValueError(f"rate is a share of the rows, above 0 and below 1: {rate}")
     groups = {"normal": ~F.col("is_anomaly"), "anomaly": F.col("is_anomaly")}
     models = _models(scores)
     values = {(m, g): F.when((F.col("model") == m) & test, F.col("score")) for m in models for g, test in groups.items()}

@@ -176,13 +176,13 @@ def inject_anomalies(
     audit.  ``eligible_only`` draws from rows valid in both compositions instead.
     """
     if not 0 <= anomaly_rate <= 1:
-        raise ValueError("anomaly_rate must be between 0 and 1.")
+        raise ValueError(f"anomaly_rate is the share of rows to change, from 0 to 1: {anomaly_rate}")
     needed = {*profile.shares, *profile.splits, *profile.ratios, profile.mono_flag, *profile.context}
-    require_columns(clean, needed, "Clean dataset is missing columns")
+    require_columns(clean, needed, "columns needed to inject are absent")
     if profile.row_id not in clean.columns:
         clean = materialise(assign_row_ids(clean, profile.row_id), "clean-with-ids")
     if anomaly_rate and clean.limit(2).count() < 2:
-        raise ValueError("At least two rows are required to inject anomalies.")
+        raise ValueError("a table of fewer than two rows has no donors")
     weights = DEFAULT_WEIGHTS if weights is None else weights
 
     eligible = None
@@ -225,7 +225,7 @@ def inject_anomalies(
 def _apply_patches(df: DataFrame, profile: Profile) -> DataFrame:
     kind, rid = F.col("anomaly_type"), F.col(profile.row_id)
     short = F.coalesce(F.col("__donors"), F.lit(0)) < _needed(kind)
-    complaint = F.raise_error(F.concat(F.lit("Could not find a valid donor for row "), rid.cast("string")))
+    complaint = F.raise_error(F.concat(F.lit("no donor differs enough for row "), rid.cast("string")))
     df = df.withColumn("anomaly_type", F.when(short, complaint.cast("string")).otherwise(kind))
     shares = _array(profile.shares)
     concentrated = all_on(first_open_source(F.col("source_order"), shares), len(profile.shares))
@@ -304,7 +304,7 @@ def audit_labelled(
 ) -> DataFrame:
     """One-row report of all rules; ``strict`` raises on the first broken one."""
     needed = {*LABEL_COLUMNS, profile.row_id, *profile.shares, *profile.splits, *profile.ratios, *profile.derived}
-    require_columns(labelled, needed, "Experiment dataset is missing columns")
+    require_columns(labelled, needed, "columns needed to audit are absent")
     report = audit_counts(labelled, profile).first().asDict()
     if clean is not None:
         report |= audit_ids(labelled, clean, profile.row_id).first().asDict()

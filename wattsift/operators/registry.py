@@ -231,7 +231,7 @@ class Registry:
         old = known.select("id", "sha256").first()
         if old is not None:
             if old["sha256"] != item.sha256:
-                raise ValueError(f"Artifact key already exists with different content: {item.object_key}")
+                raise ValueError(f"another content is registered under {item.object_key}")
             return old["id"]
         row = self.spark.createDataFrame(
             [(run_id, kind, item.object_key, item.content_type, item.sha256, item.size_bytes, metadata or {})],
@@ -246,7 +246,7 @@ class Registry:
         old = self.table("datasets").filter(F.col("artifact_id") == artifact_id).first()
         if old is not None:
             if old["name"] != name or old["row_count"] != row_count:
-                raise ValueError(f"Dataset metadata conflicts with existing artifact: {artifact_id}")
+                raise ValueError(f"artifact {artifact_id} is a dataset of another name or size")
             return old["id"]
         row = self.spark.createDataFrame(
             [(artifact_id, name, schema_version, row_count, source)],
@@ -295,7 +295,7 @@ class Registry:
         stored = stored_datasets(self.table("datasets"), self.table("artifacts"))
         row = stored.filter(F.col("object_key") == object_key).select("id").first()
         if row is None:
-            raise LookupError(f"Dataset is not registered: {object_key}")
+            raise LookupError(f"no dataset of the registry has the key {object_key}")
         return row["id"]
 
     def resolve(self, name: str, version: str | None = None) -> dict[str, str]:
@@ -306,7 +306,7 @@ class Registry:
         row = resolve_models(models, self.table("artifacts"), self.runs()).first()
         if row is None:
             wanted = f"model {name!r}" + (f" version {version!r}" if version is not None else "")
-            raise LookupError(f"No completed {wanted} is registered.")
+            raise LookupError(f"no finished run has left {wanted}")
         if row["preprocessor_key"] is None:
-            raise LookupError(f"No preprocessor artifact is registered for pipeline run {row['pipeline_run_id']}.")
+            raise LookupError(f"run {row['pipeline_run_id']} has left no preprocessor")
         return row.asDict()

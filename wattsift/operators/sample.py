@@ -58,7 +58,7 @@ def split_evaluation(
 ) -> tuple[DataFrame, DataFrame]:
     """(validation, test); stratified by the boolean label when the table has it."""
     if not 0 < fraction < 1:
-        raise ValueError("validation_fraction must be between 0 and 1.")
+        raise ValueError(f"fraction is a share of the rows, above 0 and below 1: {fraction}")
     key, rid = draw(seed, "split", F.col(row_id)), F.col(row_id)
     strata = [F.lit(True)]
     if label in df.columns:
@@ -82,7 +82,7 @@ def allocate_counts(total: int, weights: Mapping[str, float]) -> dict[str, int]:
     values = [float(w) for w in weights.values()]
     sound = bool(values) and all(math.isfinite(w) and w >= 0 for w in values)
     if not sound or abs(sum(values) - 1.0) > 1e-8 + 1e-5:
-        raise ValueError("Anomaly distribution must be non-negative and sum to 1.")
+        raise ValueError(f"the shares of the types are finite, none below 0, and add up to 1: {weights}")
     exact = {name: float(w) * total for name, w in weights.items()}
     counts = {name: math.floor(x) for name, x in exact.items()}
     by_remainder = sorted(exact, key=lambda name: counts[name] - exact[name])
@@ -95,5 +95,5 @@ def weights_from_form(fields: Mapping[str, str | float]) -> dict[str, float]:
     """Form fields named ``<type>_weight`` to type weights; they must sum to 1 within 1e-9."""
     weights = {name: float(fields[f"{name}_weight"]) for name in ANOMALY_TYPES}
     if abs(sum(weights.values()) - 1.0) > 1e-9:
-        raise ValueError("Anomaly distribution weights must sum to 1.")
+        raise ValueError(f"the weights in the form add up to {sum(weights.values())}, not to 1")
     return weights

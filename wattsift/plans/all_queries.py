@@ -8,6 +8,7 @@ from wattsift.plans import (  # noqa: F401
     model_queries,
     registry_queries,
     sampling_queries,
+    whole_queries,
 )
 from wattsift.plans.catalog import ORACLES, QUERIES
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattsift.profile import ENERGY
 from wattsift.session import spread
 
-_SOURCES = (
-    "gaz_naturel_reseau", "gaz_naturel_liquefie", "gaz_propane", "gaz_butane", "fioul_domestique", "charbon",
-    "houille", "bois", "reseau_de_chaleur", "reseau_de_froid", "gazole_non_routier",
-)
+_SOURCES = tuple(c.removesuffix("_pct") for c in ENERGY.shares[1:])  # the first share is written out below
 
 
 def _other_sources(q: str) -> str:
