@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from conftest_rows import rows_by
 
+from wattsift.llm import warc_zip
 from wattsift.llm.warc_zip import Ranges, central_directory, gzip_member, parse_record, read_archives, record_ranges, round_trip, warc_record, write_archives, zip_archive
 
 BIG = "<p>Ünïcode payload</p>" * 80
@@ -91,6 +92,71 @@ def test_archives_without_an_index_are_walked(name):
     assert [parse_record(box.read(s, n))["payload_bytes"] for s, n in record_ranges(box)] == [0, 700, 1400, 2100]
 
 
+def _info(kind: str, content_type: str, block: bytes) -> bytes:
+    head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nContent-Type: {content_type}\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+    return head + block + b"\r\n\r\n"
+
+
+def _two_members(index: str) -> bytes:
+    """Two archives with 3 and 2 records and an index of the wanted form over both."""
+    lines, boxes = [], []
+    for name, ids in (("a.warc.gz", (0, 1, 2)), ("b.warc.gz", (3, 4))):
+        at, parts = 0, []
+        for i in ids:
+            part = gzip_member(warc_record(i, f"http://x/{i}", b"payload %d" % i, None, False))
+            lines.append({
+                "cdx": f"x)/{i} 2020 http://x/{i} text/html 200 ABC - - {len(part)} {at} {name}",
+                "letters": f"{name} {at} {len(part)} x)/{i}",
+                "cdxj": f'x)/{i} 2020 {{"url": "http://x/{i}", "length": "{len(part)}", "offset": "{at}", "filename": "{name}"}}',
+                "own": f"http://x/{i} {at} {len(part)}",
+                "part": f"x)/{i} 2020 http://x/{i} text/html 200 ABC - - {len(part)} {at} {name}" if i % 2 else "",
+                "noise": "nothing to be read here}",
+            }[index])
+            parts.append(part)
+            at += len(part)
+        boxes.append((f"archive/{name}", b"".join(parts)))
+    head = {"cdx": " CDX N b a m s k r M S V g\n", "letters": " CDX g V S N\n", "cdxj": "!meta\n"}.get(index, "")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, data in boxes:
+            z.writestr(name, data)
+        text = (head + "\n".join(lines) + "\n").encode()
+        z.writestr("indexes/index.cdx.gz" if index == "letters" else "indexes/index.cdxj" if index == "cdxj" else "indexes/index.cdx", gzip_member(text) if index == "letters" else text)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("index", ["cdx", "letters", "cdxj", "own", "part", "noise"])
+def test_indexes_of_other_makers_and_several_members(index):
+    box = Ranges("", _two_members(index))
+    assert [parse_record(box.read(s, n))["page_id"] for s, n in record_ranges(box)] == list(range(5))
+
+
+def test_only_trusted_indexes_are_followed(monkeypatch):
+    walked = []
+    real = warc_zip._walked
+    monkeypatch.setattr(warc_zip, "_walked", lambda *a: walked.append(a) or real(*a))
+    for index, times in (("cdx", 0), ("letters", 0), ("cdxj", 0), ("own", 2), ("part", 2), ("noise", 2)):
+        walked.clear()
+        assert len(list(record_ranges(Ranges("", _two_members(index))))) == 5 and len(walked) == times, index
+
+
+def test_records_that_hold_no_page(spark, tmp_path):
+    records = [
+        _info("warcinfo", "application/warc-fields", b"software: some crawler\r\nformat: WARC 1.1\r\n"),
+        _info("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"),
+        _info("response", "text/dns", b"20200101000000\nx. 300 IN A 127.0.0.1\n"),
+        _info("metadata", "application/warc-fields", b""),
+        _info("revisit", "application/http", b""),
+        warc_record(7, "http://x/7", b"<p>page</p>", None, False),
+    ]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("archive/data.warc.gz", b"".join(map(gzip_member, records)))
+    (tmp_path / "one.wacz").write_bytes(out.getvalue())
+    found = {(r.record_type, r.page_id, r.payload_bytes) for r in read_archives(spark, str(tmp_path)).collect()}
+    assert found == {("warcinfo", None, 42), ("request", None, 27), ("response", None, 37), ("metadata", None, 0), ("revisit", None, None), ("response", 7, 11)}
+
+
 def test_broken_archives_raise():
     good = zip_archive(members(), list(range(5)))
     with pytest.raises(ValueError):

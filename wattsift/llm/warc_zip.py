@@ -9,6 +9,7 @@ ranges; nothing is extracted.  An archive without an index is walked once, gzip
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -31,6 +32,7 @@ ARCHIVE_BYTES = 8 << 20
 REVISIT_BYTES = 1_000
 DATE = "1970-01-01T00:00:00Z"  # pages have no time of capture
 READ_BYTES = 4 << 20
+LEAST_BYTES = 1 << 20  # archives' bytes for one reading task, at least and at most
 TASK_BYTES = 32 << 20
 MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -219,20 +221,62 @@ def central_directory(box: Ranges) -> list[Member]:
     return members
 
 
+def index_line(line: str, letters: list[str] | None) -> tuple[str | None, int, int] | None:
+    """(archive's name, offset, size) of one index line; None where the line does not say it.
+
+    ``letters`` are those of the index's own head line (V: offset, S: size, g: file).  Without one a line of eleven
+    fields has the customary order, a line with a JSON object names its fields, and other lines end in offset and size.
+    """
+    try:
+        if letters is not None:
+            fields = dict(zip(letters, line.split(), strict=True))
+            return fields.get("g"), int(fields["V"]), int(fields["S"])
+        if line.rstrip().endswith("}"):
+            fields = json.loads(line[line.index("{") :])
+            return fields.get("filename"), int(fields["offset"]), int(fields["length"])
+        fields = line.split()
+        if len(fields) == 11:
+            return fields[10], int(fields[9]), int(fields[8])
+        return None, int(fields[-2]), int(fields[-1])
+    except (ValueError, KeyError, IndexError, TypeError):
+        return None
+
+
+def _indexed(box: Ranges, index: Member) -> Iterator[tuple[str | None, int, int] | None]:
+    data, letters = box.read(index.start(box), index.size), None
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
+    for n, line in enumerate(data.decode("utf-8", "replace").splitlines()):
+        if n == 0 and line.split()[:1] == ["CDX"]:
+            letters = line.split()[1:]
+        elif line.strip() and not line.startswith("!"):
+            yield index_line(line, letters)
+
+
 def record_ranges(box: Ranges) -> Iterator[tuple[int, int]]:
-    """(start, size) in the file of every record of every stored archive member."""
+    """(start, size) in the file of every record of every stored archive member.
+
+    An index is believed for an archive only if its lines lie side by side and fill the member: one that leaves
+    records out (as most do with descriptions and requests), or that cannot be read, makes the member be walked.
+    """
     members = central_directory(box)
-    indexes = [m for m in members if m.name.startswith("indexes/") and m.name.endswith(".cdx") and m.method == 0]
+    indexes = [m for m in members if m.name.startswith("indexes/") and re.search(r"\.cdxj?(\.gz)?$", m.name) and m.method == 0]
     archives = [m for m in members if m.name.startswith("archive/") and m.name.endswith((".warc.gz", ".warc"))]
+    named = {m.name.rsplit("/", 1)[-1]: [] for m in archives}
+    for index in indexes:
+        for found in _indexed(box, index):
+            name = found and (found[0].rsplit("/", 1)[-1] if found[0] else next(iter(named)) if len(named) == 1 else None)
+            if name in named:
+                named[name].append(found[1:])
     for archive in archives:
         if archive.method != 0:
             raise ValueError(f"{archive.name} is not stored")
-        start = archive.start(box)
-        if len(archives) == 1 and indexes:
-            for index in indexes:
-                for line in box.read(index.start(box), index.size).decode().splitlines():
-                    _, offset, size = line.rsplit(" ", 2)
-                    yield start + int(offset), int(size)
+        start, at = archive.start(box), 0
+        lines = sorted(set(named[archive.name.rsplit("/", 1)[-1]]))
+        for offset, size in lines:
+            at = at + size if offset == at and size > 0 else -1
+        if lines and at == archive.size:
+            yield from ((start + offset, size) for offset, size in lines)
         else:
             yield from _walked(box, start, archive.size, archive.name.endswith(".gz"))
 
@@ -280,7 +324,9 @@ def parse_record(data: bytes) -> dict:
     kind = warc["warc-type"]
     row = {"page_id": _number(warc.get("page-id")), "url": warc.get("warc-target-uri"), "record_type": kind}
     row["refers_to"] = _number(warc.get("refers-to-page-id"))
-    http, payload = _headers(block)
+    # only these hold a message of the protocol; others (descriptions, requests, lookups) are their own payload
+    message = kind in ("response", "revisit") and "http" in warc.get("content-type", "application/http").lower()
+    http, payload = _headers(block) if message and block else ({}, block)
     named = warc.get("warc-payload-digest", "").removeprefix("sha1:")
     if len(named) == 32:  # the customary base 32
         named = base64.b32decode(named.upper()).hex()
@@ -361,8 +407,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
     if not ranged:
         return files.select("content").mapInArrow(whole, out)
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # lengths only
+    part = max(LEAST_BYTES, min(TASK_BYTES, total // (4 * spark.sparkContext.defaultParallelism)))
     places = files.select("path").mapInArrow(locate, "path string, start long, size long")
-    dealt = places.repartition("path", F.floor(F.col("start") / TASK_BYTES)).sortWithinPartitions("path", "start")
+    # a stated number of partitions: what travels here is short, and must not be put together by its own size
+    dealt = places.repartition(total // part + 1, "path", F.floor(F.col("start") / part)).sortWithinPartitions("path", "start")
     return dealt.mapInArrow(fetch, out)
 
 
