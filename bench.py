@@ -55,7 +55,7 @@ def main() -> None:
     test = timed("prepare_test", lambda: stored_vectors(labelled, pre))
     n = rows.count()
     rates = {}
-    for model, short in (("isolation_forest", "iforest"), ("lof", "lof"), ("one_class_svm", "ocsvm")):
+    for model, short in (("isolation_forest", "iforest"), ("lof", "lof"), ("one_class_svm", "ocsvm"), ("one_class_dual", "ocsvm_dual")):
         fitted = timed(f"{short}_fit", lambda model=model: fit_model(model, rows))
         timed(f"{short}_score", lambda model=model, fitted=fitted: run(anomaly_scores(model, fitted, test)))
         rates[f"{short}_fit_rows_per_s"] = round(n / times[f"{short}_fit"])
