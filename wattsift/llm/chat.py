@@ -26,6 +26,7 @@ ROLES = ("", "system", "user", "assistant")
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 ENDS = (USER, ASSISTANT)
 STRETCH = 512  # turn numbers
+TASK_TURNS = 200_000  # turns whose roles one task measures, at most on average
 NEVER = 1 << 40
 
 
@@ -242,9 +243,11 @@ def repair_conversations(turns: DataFrame, costs: Costs = Costs(), template: Tem
         yield from _batched(parts(), schema)
 
     order = ("conv_id", "stretch", "spot")
-    heads = known.select("conv_id", "stretch", "role", "spot").repartition("conv_id", "stretch").sortWithinPartitions(*order).select("conv_id", "stretch", "role")
+    # a stated number of partitions: roles and matrices are short but dear, and must not be put together by their size
+    tasks = max(2 * turns.sparkSession.sparkContext.defaultParallelism, known.count() // TASK_TURNS + 1)
+    heads = known.select("conv_id", "stretch", "role", "spot").repartition(tasks, "conv_id", "stretch").sortWithinPartitions(*order).select("conv_id", "stretch", "role")
     matrices = heads.mapInArrow(measure, f"conv_id {kind}, stretch long, matrix array<long>")
-    chained = matrices.repartition("conv_id").sortWithinPartitions("conv_id", "stretch")
+    chained = matrices.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "stretch")
     states = materialise(chained.mapInArrow(link, f"conv_id {kind}, stretch long, entry int, leave int, before long, last boolean"), "states")
     ready = known.join(states, ["conv_id", "stretch"]).repartition("conv_id", "stretch").sortWithinPartitions(*order)
     columns = ("conv_id", "stretch", "turn", "role", "text", "entry", "leave", "before", "last")
