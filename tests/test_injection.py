@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tables import CLEAN_SCHEMA, clean_rows
 
-from wattsift.operators.donors import match_donors, pool_positions
+from wattsift.operators.donors import _from_options, match_donors, pool_positions, with_ranges
 from wattsift.operators.inject import audit_labelled, inject_anomalies
 from wattsift.operators.clean import recompute_derived
 from wattsift.profile import ENERGY
@@ -101,6 +103,52 @@ def test_rare_donor_is_found_after_all_draws_fail(spark):
     assert found == {0: 5001, 1: 5002}
 
 
+def _asked(spark, rows):
+    return spark.createDataFrame(rows, "pool string, context string, target_id long, target_values array<double>")
+
+
+def _close(v, t):
+    def same(a, b):
+        if a is None or b is None:
+            return a is None and b is None
+        gap, room = abs(a - b), 1e-8 + 1e-5 * abs(b)
+        return room != room or gap <= room  # NaN equals itself and is beyond every number
+
+    return all(same(a, b) for a, b in zip(v, t, strict=True))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_target_with_a_donor_gets_one(spark, seed):
+    rng = random.Random(seed)
+    step = [0.0, 6e-6, 1.2e-5, 2.4e-5, 1e-9]
+    pick = lambda: rng.choice([None, float("inf"), float("nan"), -2.0, 0.0, 1e-8, *[1.0 + s for s in step], 1e12, 1e12 * (1 + 2e-5)])
+    pools = {p: [pick() for _ in range(k)] for p, k in (("a", 1), ("b", 2), ("c", 3), ("d", 2))}
+    rows = [(p, rng.choice("xxxxyz"), i, [rng.choice(few) for _ in range(2)]) for i, (p, few) in enumerate((p, f) for _ in range(25) for p, f in pools.items())]
+    targets = [(p, c, 1000 + i, v) for i, (p, c, _, v) in enumerate(rows)] + [(p, "new", 2000 + i, v) for i, (p, _, _, v) in enumerate(rows[:20])]
+    positions, ranges = pool_positions(_pool(spark, rows), seed)
+    asked = with_ranges(_asked(spark, targets), ranges, ranges.count())
+    found = {r["target_id"]: r for r in _from_options(asked, positions).collect()}
+    by_id = {r[2]: r for r in rows}
+    for pool, context, target, values in targets:
+        own_only = {r[1] for r in rows if r[0] == pool} == {context}
+        fits = [r[2] for r in rows if r[0] == pool and (r[1] != context or own_only) and not _close(r[3], values)]
+        assert (target in found) == bool(fits)
+        assert target not in found or (found[target]["donor_id"] in fits and found[target]["pool"] == by_id[found[target]["donor_id"]][0])
+
+
+def test_work_for_rare_donors_does_not_grow_with_their_number(spark):
+    def jobs(n):
+        rows = [("p", f"c{i % 5}", i, [1.0 + i * 1e-10]) for i in range(n)] + [("p", "c1", n + 1, [1.00003])]
+        targets = _asked(spark, [("p", "c0", 0, [1.0]), ("p", "c1", 1, [1.0]), ("p", "c0", 2, [1.00003])])
+        spark.sparkContext.setJobGroup(f"donors-{n}", "")
+        found = {r["target_id"]: r["donor_id"] for r in match_donors(targets, _pool(spark, rows), 5, first_draws=1, all_draws=2).collect()}
+        spark.sparkContext.setJobGroup("rest", "")
+        assert found[0] == n + 1 and 1 not in found and 2 in found
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"donors-{n}"))
+
+    assert jobs(10_000) <= jobs(10) + 4
+
+
 def test_missing_ids_are_supplied(clean_frame):
     labelled = inject_anomalies(clean_frame.drop("source_row_id"), 0.2, 7)
     assert sorted(r[0] for r in labelled.select("source_row_id").collect()) == list(range(20))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Spark's cast also reads Java forms such as `1.5d` or `0x1p3`, so text is matched before it is cast.
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INFINITY_PATTERN = r"^[+-]?(inf|infinity)$"
+RTOL, ATOL = 1e-5, 1e-8
 
 
 def parse_number(text: Column) -> Column:
@@ -38,7 +39,7 @@ def row_sum(columns: list[Column]) -> Column:
     return reduce(add, [F.coalesce(c, F.lit(0.0)) for c in columns])
 
 
-def is_close(a: Column, b: Column, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
+def is_close(a: Column, b: Column, rtol: float = RTOL, atol: float = ATOL) -> Column:
     """|a-b| <= atol + rtol*|b|; false when either is null."""
     return F.coalesce(F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b), F.lit(False))
 

@@ -4,7 +4,8 @@ A target needs a uniformly drawn pool row from another context (from its own onl
 no other) whose values differ from its own.  Each pool is put in one fixed order, (context, draw, id),
 so a context is a range of positions and "any row outside my context" is a draw over the remaining
 positions: one number, one equi-join on (pool, position).  Only "values differ" is left as a test
-after the join, with further draws for the few targets that fail it.
+after the join, with further draws for the few targets that fail it, and a short list per pool for
+those whose draws all fail.
 
 Positions come from counts, not from a global sort: contexts are cut into slices by ranges of the
 draw, sized from the context's row count, so a context with a third of all rows becomes many slices.
@@ -17,14 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattsift.functions.keys import DRAW_BITS, draw
-from wattsift.functions.numbers import vectors_close
+from wattsift.functions.numbers import ATOL, RTOL, vectors_close
 from wattsift.operators.sample import BROADCAST_ROWS
 from wattsift.session import materialise
 
 SLICE_ROWS = 500_000
 FIRST_DRAWS = 8
 ALL_DRAWS = 64
-SEARCH_STEP = 128
+BARRED_CELLS = 3  # a target's own cell and its neighbours
+SPECIAL_CELL = 1 << 40  # beyond the cell of any finite number
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -125,53 +127,71 @@ def _try_draws(targets: DataFrame, positions: DataFrame, seed: int, attempts: ra
     )
 
 
-def _search_in_order(targets: DataFrame, positions: DataFrame) -> DataFrame:
-    """First acceptable donor by id, for targets that met only rows like themselves.
+def _cell(value: Column) -> Column:
+    """Number of the value's cell.  Values that are close lie in one cell or in neighbouring ones.
 
-    Equal rows are folded to one per (pool, context, values) first.  The folded rows are then taken in
-    id order a few at a time and compared as a constant list, until every target is served.
+    The scale is bent so that the tolerance of ``is_close`` has length one everywhere; a cell has length two.
+    Null, NaN and the infinities have cells of their own, far from all others.
     """
-    folded = materialise(
-        positions.groupBy("pool", "context", "donor_values").agg(F.min("donor_id").alias("donor_id")), "donor-kinds"
+    bent = F.signum(value) * F.log1p(F.abs(value) * F.lit(RTOL / ATOL)) / F.lit(RTOL)
+    endless = F.abs(value) == F.lit(float("inf"))
+    return (
+        F.when(value.isNull(), F.lit(-SPECIAL_CELL))
+        .when(F.isnan(value), F.lit(SPECIAL_CELL))
+        .when(endless, F.signum(value).cast("long") * (2 * SPECIAL_CELL))
+        .otherwise(F.floor(F.when(endless | F.isnan(value), 0.0).otherwise(bent) / 2))
+    )
+
+
+def _first_of(df: DataFrame, keys: list[str], order: list[Column], rows: int) -> DataFrame:
+    """The first rows of each group; every task first drops what cannot be among them, so no group is gathered."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("place", place).filter(F.col("place") <= rows).drop("place")
+
+
+def pool_options(positions: DataFrame) -> DataFrame:
+    """(pool, options): for every pool a short list that has a donor for each target the pool can serve at all.
+
+    For each component of the values it holds two kinds of rows.  Kind 0: smallest ids by cell.  A target bars its own
+    context and three cells (its own and both neighbours).  The first row it does not bar is among the first four cells
+    of its context, then among the first two contexts of its cell, and then among the first eleven rows, since of those
+    before it at most four are of the barred context and two of each barred cell.  Kind 1: the least and the greatest
+    value, in two contexts each: if neither differs from the target's, nothing between them does.
+    """
+    parts = positions.select("pool", "context", "donor_id", "donor_values", F.posexplode("donor_values").alias("component", "value"))
+    donor = F.struct("donor_id", "donor_values")
+    by_id = [F.col("donor.donor_id"), F.col("context")]
+    cells = parts.groupBy("pool", "component", _cell(F.col("value")).alias("cell"), "context").agg(F.min_by(donor, "donor_id").alias("donor"))
+    cells = _first_of(cells, ["pool", "component", "context"], by_id, BARRED_CELLS + 1)
+    cells = _first_of(cells, ["pool", "component", "cell"], by_id, 2)
+    cells = _first_of(cells, ["pool", "component"], by_id, (BARRED_CELLS + 1) + 2 * BARRED_CELLS + 1)
+    kept = [cells.select("pool", F.lit(0).alias("kind"), "context", "donor")]
+    finite = parts.filter("value is not null and not isnan(value)")
+    for sign in (1, -1):
+        ends = finite.groupBy("pool", "component", "context").agg(
+            F.min(F.struct((F.col("value") * sign).alias("value"), "donor_id", "donor_values")).alias("end")
+        )
+        ends = _first_of(ends, ["pool", "component"], [F.col("end.value"), F.col("end.donor_id")], 2)
+        kept.append(ends.select("pool", F.lit(1).alias("kind"), "context", F.struct("end.donor_id", "end.donor_values").alias("donor")))
+    options = kept[0].unionByName(kept[1]).unionByName(kept[2])
+    entry = F.struct("kind", "donor.donor_id", "context", "donor.donor_values")
+    return options.groupBy("pool").agg(F.array_sort(F.collect_set(entry)).alias("options"))
+
+
+def _from_options(targets: DataFrame, positions: DataFrame) -> DataFrame:
+    """A donor for targets that met only rows like themselves: the first acceptable row of their pool's short list.
+
+    Reads the pool once for all targets, however many rows and kinds of rows it has.
+    """
+    wanted = targets.select("pool").distinct()
+    options = materialise(pool_options(positions.join(F.broadcast(wanted), "pool", "left_semi")), "donor-options")
+    fits = F.filter(
+        "options",
+        lambda d: ((d["context"] != F.col("context")) | (F.col("size") == F.col("len")))
+        & ~vectors_close(d["donor_values"], F.col("target_values")),
     )
-    done: list[DataFrame] = []
-    for pool in [r["pool"] for r in targets.select("pool").distinct().collect()]:
-        waiting = targets.filter(F.col("pool") == pool)
-        last = None
-        while True:
-            rest = folded.filter(F.col("pool") == pool)
-            if last is not None:
-                rest = rest.filter(F.col("donor_id") > last)
-            step = rest.orderBy("donor_id").limit(SEARCH_STEP).collect()
-            if not step:
-                break
-            last = step[-1]["donor_id"]
-            listed = F.array(
-                *[
-                    F.struct(
-                        F.lit(r["context"]).alias("context"),
-                        F.lit(r["donor_id"]).alias("donor_id"),
-                        F.array(*[F.lit(v).cast("double") for v in r["donor_values"]]).alias("donor_values"),
-                    )
-                    for r in step
-                ]
-            )
-            fits = F.filter(
-                listed,
-                lambda d: ((d["context"] != F.col("context")) | (F.col("size") == F.col("len")))
-                & ~vectors_close(d["donor_values"], F.col("target_values")),
-            )
-            tried = materialise(waiting.withColumn("donor", F.get(fits, F.lit(0))), "donor-search")
-            done.append(
-                tried.filter("donor is not null").select("pool", "target_id", "donor.donor_id", "donor.donor_values")
-            )
-            waiting = tried.filter("donor is null").drop("donor")
-            if waiting.isEmpty():
-                break
-    result = targets.limit(0).select("pool", "target_id", F.lit(None).cast("long").alias("donor_id"), F.col("target_values").alias("donor_values"))
-    for d in done:
-        result = result.unionByName(d)
-    return result
+    served = targets.join(small(options, options.count()), "pool").withColumn("donor", F.get(fits, F.lit(0)))
+    return served.filter("donor is not null").select("pool", "target_id", "donor.donor_id", "donor.donor_values")
 
 
 def match_donors(
@@ -201,5 +221,5 @@ def match_donors(
         matched = matched.unionByName(more)
         n_left = left.count()
     if n_left:
-        matched = matched.unionByName(_search_in_order(left, positions))
+        matched = matched.unionByName(_from_options(left, positions))
     return matched
