@@ -1,7 +1,13 @@
-"""Runs, artifacts, datasets, models and experiments as append-only tables."""
+"""Runs, artifacts, datasets, models and experiments as append-only tables.
+
+Keys that must be unique are claimed before their row is appended (``sources.claims``), so of writers that register
+different things under one key exactly one succeeds.  Writers of the same thing may both append it; readers of
+``Registry.table`` see one row.
+"""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +16,7 @@ from pyspark.sql import types as T
 
 from wattsift.functions.keys import natural_id
 from wattsift.session import materialise
+from wattsift.sources.claims import claim
 from wattsift.sources.snapshots import Published
 
 SCHEMAS = {
@@ -54,9 +61,24 @@ REFERENCES = (
 )
 
 
+# ---- what a row is known by; filters on these columns reach the scan ----
+KNOWN_BY = {"artifacts": ("id", "object_key"), "datasets": ("id", "artifact_id"), "models": ("id", "artifact_id", "name", "version")}
+
+
 # ---- set-based rules over given tables ----
 
 
+def first_rows(name: str, rows: DataFrame) -> DataFrame:
+    """One row of each id of a table with unique keys: the oldest, then the smallest."""
+    if name not in KNOWN_BY:
+        return rows
+    keys = list(KNOWN_BY[name])
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.to_json(F.struct(*sorted(rest, key=lambda c: c != "created_at")))
+    folded = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("row"))
+    return folded.select(*keys, "row.*").select(*rows.columns)
+
+
 def current_runs(events: DataFrame) -> DataFrame:
     """Latest event per run; an end beats a start at the same instant."""
     fields = [c for c in events.columns if c != "id"]
@@ -193,7 +215,12 @@ class Registry:
         return cls(spark, root)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
+        return first_rows(name, self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}"))
+
+    def claim(self, name: str, key: str, content: list) -> bool:
+        """Whether the key is ours, or held by a writer of the same content."""
+        text = json.dumps(content)
+        return claim(self.spark, f"{self.root}/claims/{name}", key, text) == text
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = T.StructType.fromDDL(SCHEMAS[name]).names
@@ -233,6 +260,8 @@ class Registry:
             if old["sha256"] != item.sha256:
                 raise ValueError(f"another content is registered under {item.object_key}")
             return old["id"]
+        if not self.claim("artifacts", item.object_key, [item.sha256]):
+            raise ValueError(f"another content is registered under {item.object_key}")
         row = self.spark.createDataFrame(
             [(run_id, kind, item.object_key, item.content_type, item.sha256, item.size_bytes, metadata or {})],
             "pipeline_run_id string, kind string, object_key string, content_type string, sha256 string, "
@@ -248,6 +277,8 @@ class Registry:
             if old["name"] != name or old["row_count"] != row_count:
                 raise ValueError(f"artifact {artifact_id} is a dataset of another name or size")
             return old["id"]
+        if not self.claim("datasets", artifact_id, [name, row_count]):
+            raise ValueError(f"artifact {artifact_id} is a dataset of another name or size")
         row = self.spark.createDataFrame(
             [(artifact_id, name, schema_version, row_count, source)],
             "artifact_id string, name string, schema_version string, row_count long, source_dataset_id string",
@@ -269,11 +300,11 @@ class Registry:
             "parameters map<string,string>, metrics map<string,string>",
         ).withColumn("id", natural_id("model", F.col("artifact_id"), F.col("name"), F.col("version")))
         known = self.table("models").filter(F.col("artifact_id") == artifact_id).select("name", "version", "id").first()
-        if known is None:
+        if known is None and self.claim("models", artifact_id, [name, version]):
             self.append("models", row)
             return row.first()["id"]
-        if (known["name"], known["version"]) != (name, version):
-            raise ValueError(f"Artifact {artifact_id} already holds model {known['name']} version {known['version']}.")
+        if known is None or (known["name"], known["version"]) != (name, version):
+            raise ValueError(f"artifact {artifact_id} is a model of another name or version")
         return known["id"]
 
     def register_experiment(
