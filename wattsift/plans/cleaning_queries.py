@@ -186,6 +186,23 @@ def csv_inferred_types(spark, sf_dir):
     return rows.select("n", F.explode(cells).alias("e")).select("e.column_name", "e.kind", "n")
 
 
+@query(
+    "csv_quoted_breaks",
+    r"""select row_number() over (order by event_id) - 1 as row_id, event_id, cast(user_id as double) / 8 as eighth,
+ concat(event_type, E'\n', props, E'\n\n;"', cast(user_id as varchar)) as note from events""",
+)
+def csv_quoted_breaks(spark, sf_dir):
+    """Events written as text with line breaks, separators and quotes inside fields, read back with ids in file order."""
+    path = scratch_path(spark, "csv-breaks")
+    note = F.concat("event_type", F.lit("\n"), "props", F.lit('\n\n;"'), F.col("user_id").cast("string"))
+    eighth = F.replace((F.col("user_id") / 8.0).cast("string"), F.lit("."), F.lit(","))
+    rows = table(spark, sf_dir, "events").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    rows = rows.select("event_id", eighth.alias("eighth"), note.alias("note"))
+    rows.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    types = {"event_id": "long", "eighth": "double", "note": "string"}
+    return scan_locale_csv(spark, path, types=types, row_id="row_id", multiline=True)
+
+
 @query(
     "dense_row_id",
     "select row_number() over (order by o_totalprice, o_orderkey) - 1 as source_row_id, o_orderkey, o_totalprice from orders",

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from wattsift.operators.clean import quoted
 from wattsift.operators.sample import BROADCAST_ROWS
 from wattsift.session import materialise
+from wattsift.sources.quoted_csv import read_quoted_csv
 
 # ---- fixed values: text read as missing ----
 NULL_TOKENS = (
@@ -25,11 +26,15 @@ def _number_pattern(decimal: str) -> str:
     return rf"^[+-]?([0-9]+[{decimal}]?[0-9]*|[{decimal}][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def read_text_columns(spark: SparkSession, path: str, sep: str = ";", multiline: bool = False) -> DataFrame:
-    """Every column as text, missing tokens as null.  ``multiline`` allows quoted newlines, one task per file."""
-    raw = spark.read.option("header", True).option("sep", sep).option("multiLine", multiline).csv(path)
+def _known(name: str) -> Column:
+    return F.when(~quoted(name).isin(*NULL_TOKENS), quoted(name)).alias(name)
+
+
+def read_text_columns(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """Every column as text, missing tokens as null."""
+    raw = spark.read.option("header", True).option("sep", sep).csv(path)
     return raw.select(
-        *[F.when(~quoted(c).isin(*NULL_TOKENS), quoted(c)).alias(c) for c in raw.columns],
+        *[_known(c) for c in raw.columns],
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__place"),
@@ -80,9 +85,16 @@ def scan_locale_csv(
     row_id: str | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Typed table; ``types`` skips the inference pass, ``row_id`` adds dense ids from 0 in file order first."""
-    _pin_splits(spark)
-    text = read_text_columns(spark, path, sep, multiline)
+    """Typed table; ``types`` skips the inference pass, ``row_id`` adds dense ids from 0 in file order first.
+
+    ``multiline`` allows line breaks in quoted fields, whose quotes are doubled; a file is still read by many tasks.
+    """
+    if multiline:
+        text = read_quoted_csv(spark, path, sep)
+        text = text.select(*[_known(c) for c in text.columns if c != "__id"], "__id")
+    else:
+        _pin_splits(spark)
+        text = read_text_columns(spark, path, sep)
     kinds = dict(types) if types is not None else infer_types(text, decimal)
     names = [c for c in text.columns if not c.startswith("__")]
     if row_id is not None and row_id in names:
@@ -90,6 +102,8 @@ def scan_locale_csv(
     columns = [_typed(c, kinds.get(c, "string"), decimal).alias(c) for c in names]
     if row_id is None:
         return text.select(*columns)
+    if multiline:
+        return text.select(F.col("__id").alias(row_id), *columns)
     return with_block_offsets(text).select((F.col("__first") + F.col("__place") - F.col("__start")).alias(row_id), *columns)
 
 
@@ -99,22 +113,27 @@ def _pin_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
+def _task() -> Column:
+    """The task that gave a row its place."""
+    return F.shiftright("__place", 33)
+
+
 def with_block_offsets(text: DataFrame) -> DataFrame:
     """Adds, per file block, the id of its first row (``__first``) and its first place (``__start``).
 
     One row per input split is counted and summed in the order (file, block); rows never move.
     """
     blocks = materialise(
-        text.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("rows"), F.min("__place").alias("__start")),
+        text.groupBy("__file", "__block", _task().alias("__task")).agg(F.count(F.lit(1)).alias("rows"), F.min("__place").alias("__start")),
         "csv-blocks",
     )
     earlier = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
-        "__file", "__block", "__start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("__first")
+        "__file", "__block", "__task", "__start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("__first")
     )
     if blocks.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    joined = text.join(offsets, ["__file", "__block"], "left")
+    joined = text.withColumn("__task", _task()).join(offsets, ["__file", "__block", "__task"], "left")
     lost = F.raise_error(F.lit("File splits changed between two passes over the same files."))
     return joined.withColumn("__first", F.coalesce(F.col("__first"), lost.cast("long")))
 
