@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -72,6 +74,76 @@ def test_far_texts_are_rejected(spark):
     assert all(r.rejected for r in predict_languages(odd, fit_languages(docs)).collect())
 
 
+def plain_vector(text: str, weight: dict[int, float] | None) -> dict[int, float]:
+    """Counts of hashed n-grams, or with weights the TF-IDF vector of length one; all steps one by one."""
+    line = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    counts: Counter = Counter()
+    for end in range(len(line)):
+        for n in (1, 2, 3):
+            gram = line[max(0, end - n + 1) : end + 1]
+            if len(gram) < n or (gram[1] if n == 3 else gram).isspace():
+                continue
+            mixed = n
+            for c, factor in zip(reversed(gram), (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=False):
+                mixed = (mixed + ord(c) * factor) % 2**32
+            counts[(mixed ^ (mixed >> 15)) * 0x85EBCA77 % 2**32 >> (32 - language.DIMENSION_BITS)] += 1
+    if weight is None:
+        return dict(counts)
+    values = {p: (1 + math.log(c)) * weight[p] for p, c in counts.items()}
+    norm = math.sqrt(sum(v * v for v in values.values()))
+    return {p: v / norm for p, v in values.items()}
+
+
+@pytest.mark.parametrize("postings", [1 << 20, 5])
+def test_predictions_against_plain_steps(spark, monkeypatch, postings):
+    """With one centroid each: the unit mean of a language's vectors, and the nearest by cosine."""
+    monkeypatch.setattr(language, "POSTINGS", postings)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 4000")
+    known = [r for r in docs.where("lang is not null and text is not null").collect() if ngram_counts(r.text) is not None]
+    texts = [plain_vector(t, None) for t in {(r.doc_id, r.text): r.text for r in known}.values()]
+    seen = Counter(p for t in texts for p in t)
+    weight = defaultdict(lambda: math.log(1 + len(texts)) + 1, {p: math.log((1 + len(texts)) / (1 + n)) + 1 for p, n in seen.items()})
+    sums: dict[str, Counter] = defaultdict(Counter)
+    for r in known:
+        for p, v in plain_vector(r.text, weight).items():
+            sums[r.lang][p] += v
+    norms = {lang: math.sqrt(sum(v * v for v in total.values())) for lang, total in sums.items()}
+    model = fit_languages(docs, fit_rows=10**6, centroids=1)
+    found = rows_by(predict_languages(docs, model), "doc_id")
+    assert len(known) > 100 and len(sums) > 2
+    for r in known[:: 1 if postings > 5 else 10]:
+        vector = plain_vector(r.text, weight)
+        cosines = {lang: sum(v * total[p] for p, v in vector.items()) / norms[lang] for lang, total in sums.items()}
+        best = max(cosines, key=cosines.get)
+        assert found[r.doc_id][0].lang_pred == best
+        assert found[r.doc_id][0].score == pytest.approx(min(cosines[best], 1.0), abs=1e-5)
+
+
+def test_two_clusters_are_found():
+    rng = np.random.default_rng(3)
+    heads = np.eye(6)[[0, 1]]
+    vectors = np.repeat(heads, 30, axis=0) + rng.normal(0, 0.05, (60, 6))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    centres = _clusters(vectors, 2)
+    closest = np.argmax(vectors @ centres.T, axis=1)
+    assert len(set(closest[:30])) == len(set(closest[30:])) == 1 and closest[0] != closest[30]
+    for c, centre in enumerate(centres):
+        mean = vectors[closest == c].mean(0)
+        assert np.allclose(centre, mean / np.linalg.norm(mean))
+
+
+def test_two_thousand_languages(spark):
+    letters = lambda i: "".join(chr(0x4E00 + (i * 7 + j * 2003) % 20_000) for j in range(4))
+    rows = [(i, f"{letters(i)} {letters(i)}", f"l{i}") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = fit_languages(docs)
+    assert len(model.languages) == 2_000 and model.share.nbytes + model.member.nbytes < 2_000_000
+    found = predict_languages(docs, model).join(docs, "doc_id")
+    assert found.where("lang_pred = lang").count() >= 1_990
+    with pytest.raises(ValueError, match="more than 1999 languages"):
+        fit_languages(docs, max_languages=1_999)
+
+
 def test_edge_rows(edge_docs, no_docs):
     model = fit_languages(edge_docs)
     rows = rows_by(predict_languages(edge_docs, model), "doc_id")

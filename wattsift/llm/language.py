@@ -6,7 +6,9 @@ language of the centroid with the highest cosine.  A text whose cosine is far be
 reach is marked as rejected.
 
 The classifier is fitted on a sample of at most ``FIT_ROWS`` labelled texts, or 20 of each language if that is more,
-shared out evenly among the languages and drawn by a hash of key and text; prediction reads every text whole.
+shared out evenly among the languages and drawn by a hash of key and text; prediction reads every text whole.  A table
+of more than ``MAX_LANGUAGES`` languages raises.  Centroids are kept by n-gram, without the n-grams they do not have, so
+the model grows with what the fitting texts hold and not with languages times dimension.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,8 @@ FIT_ROWS = 3_000
 CENTROIDS = 4
 DIMENSION_BITS = 15
 REJECT_SHARE = 0.5  # of the cosine that all but one in a hundred training texts of the same length exceed
-BROADCAST_LANGUAGES = 100_000
+MAX_LANGUAGES = 2_000  # a column with more values does not name languages
+POSTINGS = 1 << 20  # weights multiplied at a time
 SHORT_FLOOR = 0.03  # at most, for the shortest texts; texts in a foreign script reach about 0.01
 UNKNOWN = "und"
 PART = 1 << 20  # characters handled at a time
@@ -75,7 +79,9 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
 class LanguageModel:
     languages: list[str]
     weight: np.ndarray  # inverse document frequency of each place
-    centroids: np.ndarray  # (place, centroid)
+    first: np.ndarray  # of each place: where its entries begin in ``member`` and ``share``
+    member: np.ndarray  # centroid that has the place
+    share: np.ndarray  # and its component there
     owner: np.ndarray  # language of each centroid
     floor: np.ndarray  # rejected below, by log2 of the number of different n-grams
 
@@ -84,12 +90,26 @@ class LanguageModel:
         norm = np.linalg.norm(values)
         return values / norm if norm else values
 
+    def cosines(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Inner products of a vector with all centroids."""
+        found = np.zeros(len(self.owner))
+        begins, sizes = self.first[places], np.diff(self.first)[places]
+        ends = np.cumsum(sizes)
+        at = done = 0
+        while at < len(places):
+            stop = max(at + 1, int(np.searchsorted(ends, done + POSTINGS, "right")))
+            n = sizes[at:stop]
+            entries = np.repeat(begins[at:stop] - (ends[at:stop] - n - done), n) + np.arange(ends[stop - 1] - done)
+            found += np.bincount(self.member[entries], np.repeat(values[at:stop], n) * self.share[entries], len(found))
+            at, done = stop, int(ends[stop - 1])
+        return found
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, cosine, rejected)."""
         found = ngram_counts(text)
         if found is None or not self.languages:
             return UNKNOWN, 0.0, True
-        cosines = self.vector(*found) @ self.centroids[found[0]]
+        cosines = self.cosines(found[0], self.vector(*found))
         best = int(np.argmax(cosines))
         score = float(min(max(cosines[best], 0.0), 1.0))
         return self.languages[self.owner[best]], score, score < self.floor[_length_class(found[0])]
@@ -119,20 +139,21 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return centres[sizes >= max(1, len(vectors) // 50)]  # a centroid of a few odd texts speaks for no language
 
 
-def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -> LanguageModel:
+def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Fit on rows with a language and a letter in the text; without any the model knows no language.
 
     Each language gives the ``fit_rows`` / languages (20 at least) texts with the smallest hashes of key and text, or
     all if it has fewer; rows equal in key and text count once.  So at most max(``fit_rows``, 20 x languages) texts
-    come to the driver.
+    come to the driver.  More than ``max_languages`` languages raise.
     """
     rows = labelled.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).where("lang is not null and t is not null")
     rows = rows.select("lang", "t", F.xxhash64("k", "t", F.lit("fit")).alias("h"))
     totals = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
     languages = totals.count()
+    if languages > max_languages:
+        raise ValueError(f"{languages} values of {lang} are more than {max_languages} languages")
     share = max(20, fit_rows // max(1, languages))
-    if languages <= BROADCAST_LANGUAGES:  # one short row each; texts then need not move to their language
-        totals = F.broadcast(totals)
+    totals = F.broadcast(totals)  # one short row for each of at most ``max_languages``; texts need not move to them
     draw = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
     few = rows.join(totals, "lang").where(draw * F.col("n") < share * 1.2 + 60)  # more than ``share`` in all likelihood
     few = few.groupBy("lang", "h").agg(F.min("t").alias("t"))
@@ -160,18 +181,26 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text",
     for _, places, _ in texts:
         seen[places] += 1
     languages = sorted({v for v, _, _ in texts})
-    model = LanguageModel(languages, np.log((1 + len(texts)) / (1 + seen)) + 1, np.zeros((size, 0), np.float32), np.zeros(0, int), np.zeros(DIMENSION_BITS + 2))
-    for number, language in enumerate(languages):
-        own = [(p, c) for v, p, c in texts if v == language]
+    none = np.zeros(0, np.int32)
+    model = LanguageModel(languages, np.log((1 + len(texts)) / (1 + seen)) + 1, np.zeros(size + 1, int), none, none.astype(np.float32), none, np.zeros(DIMENSION_BITS + 2))
+    owner: list[int] = []
+    entries = [(none, none, none.astype(np.float32))]
+    for number, (_, group) in enumerate(groupby(texts, key=lambda r: r[0])):
+        own = [(p, c) for _, p, c in group]
         vectors = np.zeros((len(own), size), np.float32)
         for row, (places, counts) in zip(vectors, own, strict=True):
             row[places] = model.vector(places, counts)
         centres = _clusters(vectors, centroids)
-        model.centroids = np.concatenate([model.centroids, centres.T.astype(np.float32)], axis=1)
-        model.owner = np.append(model.owner, [number] * len(centres))
+        which, places = np.nonzero(centres)
+        entries.append((places.astype(np.int32), (which + len(owner)).astype(np.int32), centres[which, places].astype(np.float32)))
+        owner += [number] * len(centres)
+    places, model.member, model.share = map(np.concatenate, zip(*entries, strict=True))
+    order = np.argsort(places, kind="stable")
+    model.member, model.share, model.owner = model.member[order], model.share[order], np.array(owner, int)
+    model.first[1:] = np.cumsum(np.bincount(places, minlength=size))
     by_length: dict[int, list[float]] = {}
     for _, places, counts in texts:
-        by_length.setdefault(_length_class(places), []).append(float((model.vector(places, counts) @ model.centroids[places]).max()))
+        by_length.setdefault(_length_class(places), []).append(float(model.cosines(places, model.vector(places, counts)).max()))
     lowest = np.inf
     for c in range(DIMENSION_BITS + 1, -1, -1):  # a shorter text is never asked for more than a longer one
         if len(by_length.get(c, ())) >= 20:
@@ -188,7 +217,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, key: str = "doc_id"
 
     A null text or one without a letter has the language ``und``, score 0 and is rejected.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is set by the dimension and the languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # no larger than the n-grams of the fitting texts
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
