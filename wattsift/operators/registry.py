@@ -304,7 +304,7 @@ class Registry:
             self.append("models", row)
             return row.first()["id"]
         if known is None or (known["name"], known["version"]) != (name, version):
-            raise ValueError(f"artifact {artifact_id} is a model of another name or version")
+            raise ValueError(f"artifact {artifact_id} already holds a model of another name or version")
         return known["id"]
 
     def register_experiment(
