@@ -1,10 +1,14 @@
 """Exact k nearest neighbours (Euclidean) and the local outlier factor.
 
 Training rows are cut into cells around about sqrt(n) pivots, cells that lie close together into slices of
-bounded size.  Queries are packed by the slice of their home cell and meet the rows in two rounds.  The first
-searches the home slice, which bounds how far the k-th neighbour can be.  The second visits only slices with a
+bounded size.  The pivots are the leaves of a tree of balls, which is pruned at every level: a row is compared with
+the pivots of few leaves.  Queries are packed by the slice of their home cell and meet the rows in two rounds.  The
+first searches the home slice, which bounds how far the k-th neighbour can be.  The second visits only slices with a
 cell that may hold a nearer row, and in them only such cells.  Rows and queries travel as packed blocks; a cell
 with any share of the rows is spread over as many slices as it needs.
+
+A ``NeighbourIndex`` is stored: built once, it serves any number of searches, and rows that come later are added as
+a layer of slices of their own, without a look at the rows it has.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +36,7 @@ PAIRS_AT_ONCE = 2_000_000
 QUERY_BLOCK = 256
 TILE_ROWS = 2048
 MERGE_PAIRS = 100_000
+LEAF_PIVOTS = 16
 
 
 # ---- per-batch arithmetic ----
@@ -47,6 +52,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _slack(x: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """What rounding may add to a distance of each row."""
+    return 1e-6 * (1.0 + np.sqrt((x * x).sum(1)) + np.where(np.isfinite(reach), reach, 0.0))
+
+
 @dataclass(frozen=True)
 class Cells:
     """Pivots and, per cell, the number of rows and the radius."""
@@ -59,18 +69,17 @@ class Cells:
         gaps = _distances(x, self.pivots)
         return gaps.argmin(axis=1), gaps
 
-    def within(self, x: np.ndarray, own: np.ndarray, gaps: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    def within(self, x: np.ndarray, home: np.ndarray, mine: np.ndarray, gaps: np.ndarray, reach: np.ndarray) -> np.ndarray:
         """rows x cells mask of the cells that may hold a row within ``reach`` of each query.
 
-        A cell is out of reach when its ball is, or when the plane halfway to its pivot is.
+        ``home`` is each query's nearest pivot and ``mine`` its distance.  A cell is out of reach when its ball is, or
+        when the plane halfway to its pivot is.
         """
-        between = _distances(self.pivots, self.pivots[own]).T
-        mine = gaps[np.arange(len(x)), own][:, None]
+        between = _distances(home, self.pivots)
         with np.errstate(divide="ignore", invalid="ignore"):
-            plane = np.where(between > 0, (gaps**2 - mine**2) / (2.0 * between), 0.0)
+            plane = np.where(between > 0, (gaps**2 - mine[:, None] ** 2) / (2.0 * between), 0.0)
         nearest = np.maximum(gaps - self.radius[None, :], plane)
-        slack = 1e-6 * (1.0 + np.sqrt((x * x).sum(1)) + np.where(np.isfinite(reach), reach, 0.0))
-        return (nearest <= (reach + slack)[:, None]) & (self.counts > 0)[None, :]
+        return (nearest <= (reach + _slack(x, reach))[:, None]) & (self.counts > 0)[None, :]
 
     def reach(self, gaps: np.ndarray, k: int) -> np.ndarray:
         """A distance within which each query surely has k rows: whole balls, the nearest first."""
@@ -82,6 +91,92 @@ class Cells:
         return np.where(held[rows, place], far[rows, order[rows, place]], np.inf)
 
 
+@dataclass(frozen=True)
+class PivotTree:
+    """Halves of the line of chained pivots, again and again; a node is a ball around the mean of its pivots."""
+
+    cells: Cells
+    ranges: np.ndarray  # per node: its first pivot and the one after its last
+    children: np.ndarray  # per node: two nodes, -1 at a leaf
+    centres: np.ndarray
+    spans: np.ndarray  # distance of the farthest pivot
+    reaches: np.ndarray  # bound of the distance of the farthest row in its cells
+
+    @staticmethod
+    def over(cells: Cells) -> PivotTree:
+        ranges, children, todo = [(0, len(cells.pivots))], [(-1, -1)], [0]
+        while todo:
+            node = todo.pop()
+            lo, hi = ranges[node]
+            if hi - lo > LEAF_PIVOTS:
+                middle, new = lo + (hi - lo) // 2, len(ranges)
+                ranges += [(lo, middle), (middle, hi)]
+                children[node] = (new, new + 1)
+                children += [(-1, -1)] * 2
+                todo += [new, new + 1]
+        centres, spans, reaches = [], [], []
+        for lo, hi in ranges:
+            centre = cells.pivots[lo:hi].mean(0)
+            away = np.sqrt(((cells.pivots[lo:hi] - centre) ** 2).sum(1))
+            held = cells.counts[lo:hi] > 0
+            centres.append(centre)
+            spans.append(away.max())
+            reaches.append((away + cells.radius[lo:hi])[held].max() if held.any() else -np.inf)
+        return PivotTree(cells, np.array(ranges), np.array(children), np.array(centres), np.array(spans), np.array(reaches))
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Nearest pivot of each row, its distance, and the number of distances measured.
+
+        Each row first walks down to one leaf, then into every node whose ball may hold a nearer pivot.
+        """
+        own, near, measured = np.zeros(len(x), np.int64), np.full(len(x), np.inf), 0
+        for walk in (True, False):
+            todo = [(0, np.arange(len(x)))] if len(x) else []
+            while todo:
+                node, rows = todo.pop()
+                if self.children[node][0] < 0:
+                    lo, hi = self.ranges[node]
+                    gaps = _distances(x[rows], self.cells.pivots[lo:hi])
+                    measured += gaps.size
+                    place = gaps.argmin(axis=1)
+                    gap, place = gaps[np.arange(len(rows)), place], place + lo
+                    better = (gap < near[rows]) | ((gap == near[rows]) & (place < own[rows]))
+                    own[rows[better]], near[rows[better]] = place[better], gap[better]
+                    continue
+                pair = self.children[node]
+                gaps = _distances(x[rows], self.centres[pair])
+                measured += gaps.size
+                if walk:
+                    right = gaps[:, 1] < gaps[:, 0]
+                    taken = np.stack([~right, right], axis=1)
+                else:
+                    taken = gaps - self.spans[pair] <= (near[rows] + _slack(x[rows], near[rows]))[:, None]
+                todo += [(n, rows[taken[:, i]]) for i, n in enumerate(pair) if taken[:, i].any()]
+        return own, near, measured
+
+    def wanted(self, x: np.ndarray, own: np.ndarray, near: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """Cells that may hold a row within reach of any of the queries, their number summed over the queries, and the
+        number of distances measured."""
+        cells, found, needed, measured = self.cells, np.zeros(len(self.cells.counts), bool), 0, 0
+        far, home = reach + _slack(x, reach), self.cells.pivots[own]
+        todo = [(0, np.arange(len(x)))] if len(x) else []
+        while todo:
+            node, rows = todo.pop()
+            pair = self.children[node]
+            if pair[0] < 0:
+                span = slice(*self.ranges[node])
+                part = Cells(cells.pivots[span], cells.counts[span], cells.radius[span])
+                mask = part.within(x[rows], home[rows], near[rows], _distances(x[rows], part.pivots), reach[rows])
+                found[span] |= mask.any(axis=0)
+                needed, measured = needed + int(mask.sum()), measured + mask.size
+                continue
+            gaps = _distances(x[rows], self.centres[pair])
+            measured += gaps.size
+            taken = gaps - self.reaches[pair] <= far[rows][:, None]
+            todo += [(n, rows[taken[:, i]]) for i, n in enumerate(pair) if taken[:, i].any()]
+        return found, needed, measured
+
+
 def _top(q: np.ndarray, t: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, training row, distance) of the k nearest per query, ties by id, in that order.
 
@@ -197,7 +292,7 @@ def _search_block(q: np.ndarray, reach: np.ndarray, part: Slice, k: int):
         return (radius**2 * (1 + 1e-9) - qq * (1.0 - slack) + slack).astype(np.float32)[:, None]
 
     radius = bound()
-    mask = cells.within(q, own, gaps, radius).any(axis=0)
+    mask = cells.within(q, cells.pivots[own], gaps.min(axis=1), gaps, radius).any(axis=0)
     mask[home] = False
     threshold, fresh, pending = limit(radius), [], 0
     for lo, hi in _runs(np.flatnonzero(mask), part.starts, cells.counts):
@@ -298,71 +393,170 @@ def _slice_of(blocks: pa.Table, pivots: np.ndarray, width: int) -> Slice:
     return Slice.of(pivots, np.concatenate(cells)[order], np.concatenate(vectors)[order], np.concatenate(ids)[order])
 
 
-def nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool = False, seed: int = 42) -> DataFrame:
-    """(row_id, neighbour_id, distance, rank) for the k nearest training rows of every query, ties by id.
+# ---- the stored index ----
 
-    Both tables have ``row_id`` long and ``features`` array<double> of one width.
-    """
-    return nearest_with_plan(queries, train, k, skip_self, seed)[0]
+_PLACED = "row_id long, features array<double>, cell int, near double"
+_CUT = "row_id long, features array<double>, cell int, home long, pack long"
+_CELLS = "layer int, cell int, rows long, radius double, pivot array<double>"
 
 
-def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: bool = False, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """The neighbours, and per pack of queries (home, pack, n, cells, needed): the cells of the training set, and how
-    many of them a query of the pack had to look into on average."""
-    context = queries.sparkSession.sparkContext
-    want = k + skip_self
-    train = materialise(fold_copies(train.select("row_id", "features"), want), "folded")
-    rows, width = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    if not rows:
-        raise ValueError("There are no rows to be neighbours.")
-    picked = sample_exact(train, math.ceil(math.sqrt(rows)), seed, "row_id").orderBy("row_id").toArrow()  # about sqrt(n) rows
-    pivots = np.asarray(picked.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(-1, width)
-    pivots = pivots[_chained(pivots)]
-    shared = context.broadcast(pivots)
+@dataclass(frozen=True)
+class Layer:
+    """Rows that were put in together: their number and the farthest of them per cell, and their first slice."""
+
+    counts: np.ndarray
+    radius: np.ndarray
+    first_slice: int
+
+    @property
+    def before(self) -> np.ndarray:
+        return np.cumsum(self.counts) - self.counts
+
+    @property
+    def slices(self) -> int:
+        return -(-int(self.counts.sum()) // SLICE_ROWS)
+
+
+@dataclass(frozen=True)
+class NeighbourIndex:
+    """``blocks``: packed rows by slice and cell.  It has the first ``keep`` copies of every vector of a layer, and so
+    answers searches for up to that many neighbours."""
+
+    blocks: DataFrame
+    pivots: np.ndarray
+    layers: tuple[Layer, ...]
+    keep: int
+
+    @property
+    def cells(self) -> Cells:
+        return Cells(self.pivots, sum(x.counts for x in self.layers), np.maximum.reduce([x.radius for x in self.layers]))
+
+
+def _in_cells(table: DataFrame, tree: PivotTree, label: str) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Rows with their cell and the distance of its pivot; rows and farthest row per cell."""
+    shared, cells = table.sparkSession.sparkContext.broadcast(tree), len(tree.cells.pivots)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch)
-            own, near = np.zeros(len(x), np.int32), np.zeros(len(x))
-            for start in range(0, len(x), 4096):
-                gaps = _distances(x[start : start + 4096], shared.value)
-                own[start : start + 4096], near[start : start + 4096] = gaps.argmin(axis=1), gaps.min(axis=1)
-            columns = [*batch.columns, pa.array(own), pa.array(near)]
+            own, near, _ = shared.value.nearest(matrix(batch))
+            columns = [*batch.columns, pa.array(own.astype(np.int32)), pa.array(near)]
             yield pa.RecordBatch.from_arrays(columns, names=["row_id", "features", "cell", "near"])
 
-    schema = "row_id long, features array<double>, cell int, near double"
+    found = materialise(table.select("row_id", "features").mapInArrow(assign, _PLACED), label)
+    counts, radius = np.zeros(cells, np.int64), np.zeros(cells)
+    for r in found.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("far")).collect():  # one row per pivot
+        counts[r["cell"]], radius[r["cell"]] = r["n"], r["far"]
+    return found, counts, radius
 
-    def placed(table: DataFrame, label: str) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-        found = materialise(table.select("row_id", "features").mapInArrow(assign, schema), label)
-        counts, radius = np.zeros(len(pivots), np.int64), np.zeros(len(pivots))
-        for r in found.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("far")).collect():  # one row per pivot
-            counts[r["cell"]], radius[r["cell"]] = r["n"], r["far"]
-        return found, counts, radius
 
-    stored, counts, radius = placed(train, "cells")
-    asked, asked_counts, _ = placed(queries, "cell-queries")
-    before, slices = np.cumsum(counts) - counts, -(-rows // SLICE_ROWS)
-    plan = context.broadcast((Cells(pivots, counts, radius), before, np.cumsum(asked_counts) - asked_counts, asked_counts))
+def _cut(placed: DataFrame, layer: Layer, counts: np.ndarray, pack_rows: int) -> DataFrame:
+    """Placed rows with the slice of ``layer`` they belong to and the pack of about ``pack_rows`` of their own kind."""
+    shared = placed.sparkSession.sparkContext.broadcast((layer.before, layer.counts, layer.first_slice, np.cumsum(counts) - counts, counts))
 
-    def cut(batches: Iterator[pa.RecordBatch], of_queries: bool) -> Iterator[pa.RecordBatch]:
-        cells, before, asked_before, asked_counts = plan.value
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, held, first, own_before, own_counts = shared.value
         for batch in batches:
             ids, cell = batch.column("row_id").to_numpy(), batch.column("cell").to_numpy()
-            home = _spot(before, cells.counts, cell, ids) // SLICE_ROWS
-            part = _spot(asked_before, asked_counts, cell, ids) // PACK_ROWS if of_queries else _spot(before, cells.counts, cell, ids) // BLOCK_ROWS
-            columns = [batch.column("row_id"), batch.column("features"), batch.column("cell"), pa.array(home.astype(np.int64)), pa.array(part.astype(np.int64))]
+            home = first + _spot(before, held, cell, ids) // SLICE_ROWS
+            pack = _spot(own_before, own_counts, cell, ids) // pack_rows
+            columns = [batch.column("row_id"), batch.column("features"), batch.column("cell"), pa.array(home.astype(np.int64)), pa.array(pack.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["row_id", "features", "cell", "home", "pack"])
 
-    cut_schema = "row_id long, features array<double>, cell int, home long, pack long"
-    blocks = _pack(stored.mapInArrow(lambda b: cut(b, False), cut_schema), ["home", "cell", "pack"], width)
-    blocks = materialise(blocks.withColumnRenamed("home", "slice").drop("pack"), "cell-blocks")
-    packs = materialise(_pack(asked.mapInArrow(lambda b: cut(b, True), cut_schema), ["home", "pack"], width), "query-packs")
+    return placed.mapInArrow(cut, _CUT)
+
+
+def _layer(rows: DataFrame, pivots: np.ndarray, first_slice: int) -> tuple[Layer, DataFrame]:
+    empty = Cells(pivots, np.zeros(len(pivots), np.int64), np.zeros(len(pivots)))
+    placed, counts, radius = _in_cells(rows, PivotTree.over(empty), "cells")
+    layer = Layer(counts, radius, first_slice)
+    blocks = _pack(_cut(placed, layer, counts, BLOCK_ROWS), ["home", "cell", "pack"], pivots.shape[1])
+    return layer, materialise(blocks.withColumnRenamed("home", "slice").drop("pack"), "cell-blocks")
+
+
+def build_index(train: DataFrame, keep: int, seed: int = 42) -> NeighbourIndex:
+    """An index of all rows (``row_id`` long, ``features`` array<double> of one width) for up to ``keep`` neighbours."""
+    train = materialise(fold_copies(train.select("row_id", "features"), keep), "folded")
+    rows, width = train.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    if not rows:
+        raise ValueError("There are no rows to be neighbours.")
+    picked = sample_exact(train, math.ceil(math.sqrt(rows)), seed, "row_id").orderBy("row_id").toArrow()  # about sqrt(n) rows
+    pivots = np.asarray(picked.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(-1, width)
+    pivots = pivots[_chained(pivots)]
+    layer, blocks = _layer(train, pivots, 0)
+    return NeighbourIndex(blocks, pivots, (layer,), keep)
+
+
+def add_rows(index: NeighbourIndex, rows: DataFrame) -> NeighbourIndex:
+    """The index with further rows, whose ids it must not have yet.  Only they are read and written.
+
+    Pivots stay as they are, so an index that has grown many times over is better built anew.
+    """
+    rows = materialise(fold_copies(rows.select("row_id", "features"), index.keep), "folded")
+    if rows.isEmpty():
+        return index
+    last = index.layers[-1]
+    layer, blocks = _layer(rows, index.pivots, last.first_slice + last.slices)
+    return NeighbourIndex(index.blocks.unionByName(blocks), index.pivots, (*index.layers, layer), index.keep)
+
+
+def save_index(index: NeighbourIndex, path: str) -> None:
+    """Blocks, and one row per layer and cell."""
+    index.blocks.write.mode("errorifexists").parquet(f"{path}/blocks")
+    lines = [
+        (i, c, int(x.counts[c]), float(x.radius[c]), index.pivots[c].tolist()) for i, x in enumerate(index.layers) for c in range(len(index.pivots))
+    ]  # about sqrt(n) of each layer
+    spark = index.blocks.sparkSession
+    spark.createDataFrame(lines, _CELLS).coalesce(1).write.parquet(f"{path}/cells")
+    meta = [(i, x.first_slice, index.keep) for i, x in enumerate(index.layers)]
+    spark.createDataFrame(meta, "layer int, first_slice long, keep int").coalesce(1).write.parquet(f"{path}/layers")
+
+
+def load_index(spark: SparkSession, path: str) -> NeighbourIndex:
+    meta = spark.read.parquet(f"{path}/layers").orderBy("layer").collect()
+    lines = spark.read.parquet(f"{path}/cells").orderBy("layer", "cell").collect()
+    cells = len(lines) // len(meta)
+    layers = []
+    for r in meta:
+        part = lines[r["layer"] * cells : (r["layer"] + 1) * cells]
+        layers.append(Layer(np.array([x["rows"] for x in part], np.int64), np.array([x["radius"] for x in part]), r["first_slice"]))
+    pivots = np.array([x["pivot"] for x in lines[:cells]], float)
+    return NeighbourIndex(spark.read.parquet(f"{path}/blocks"), pivots, tuple(layers), meta[0]["keep"])
+
+
+def nearest(queries: DataFrame, train: DataFrame, k: int, skip_self: bool = False, seed: int = 42) -> DataFrame:
+    """(row_id, neighbour_id, distance, rank) for the k nearest training rows of every query, ties by id.
+
+    Both tables have ``row_id`` long and ``features`` array<double> of one width.
+    """
+    return search_index(queries, build_index(train, k + skip_self, seed), k, skip_self)[0]
+
+
+def search_index(queries: DataFrame, index: NeighbourIndex, k: int, skip_self: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The neighbours, as ``nearest`` gives them, and a line per pack of queries: (home, pack, n, cells, needed, measured,
+    slices, all_slices).  Of all cells a query had to look into ``needed`` on average, which it found by ``measured``
+    distances."""
+    context, want, width = queries.sparkSession.sparkContext, k + skip_self, index.pivots.shape[1]
+    if want > index.keep:
+        raise ValueError(f"The index answers searches for up to {index.keep} neighbours, not {want}.")
+    layers, blocks = index.layers, index.blocks
+    tree = PivotTree.over(index.cells)
+    asked, asked_counts, _ = _in_cells(queries, tree, "cell-queries")
+    packs = materialise(_pack(_cut(asked, layers[0], asked_counts, PACK_ROWS), ["home", "pack"], width), "query-packs")
+    plan = context.broadcast((tree, [(x.first_slice, x.before, x.counts) for x in layers]))
+
+    def slices_of(found: np.ndarray, parts: list) -> set[int]:
+        visit: set[int] = set()
+        for start, before, counts in parts:
+            cells = np.flatnonzero(found & (counts > 0))
+            first, last = before[cells] // SLICE_ROWS, (before[cells] + counts[cells] - 1) // SLICE_ROWS
+            visit.update(start + s for lo, hi in set(zip(first.tolist(), last.tolist(), strict=True)) for s in range(lo, hi + 1))
+        return visit
 
     def first_round(asking: pa.Table, near: pa.Table) -> pa.Table:
-        cells, before = plan.value[:2]
+        tree, parts = plan.value
+        cells = tree.cells
         out: list[tuple] = []
         part = _slice_of(near, cells.pivots, width) if near.num_rows else None
-        first, last = before // SLICE_ROWS, np.maximum(before + cells.counts - 1, 0) // SLICE_ROWS
         for row in asking.to_pylist():
             ids, q = _arrays(row, width)
             reach = np.full(len(q), np.inf)
@@ -370,25 +564,25 @@ def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: b
             complete = np.bincount(qi, minlength=len(q)) >= want
             worst = np.zeros(len(q))
             np.maximum.at(worst, qi, d)
-            needed, wanted = 0, np.zeros(len(cells.counts), bool)
-            for start in range(0, len(q), 1024):
-                rows = slice(start, start + 1024)
-                own, gaps = cells.own(q[rows])
-                reach[rows] = np.where(complete[rows], np.minimum(worst[rows], cells.reach(gaps, want)), cells.reach(gaps, want))
-                mask = cells.within(q[rows], own, gaps, reach[rows])
-                needed += int(mask.sum())
-                wanted |= mask.any(axis=0)
-            visit = sorted({s for c in np.flatnonzero(wanted) for s in range(int(first[c]), int(last[c]) + 1)} - {row["home"]})
+            reach[complete] = worst[complete]
+            open_ = np.flatnonzero(~complete)
+            for start in range(0, len(open_), 1024):
+                some = open_[start : start + 1024]
+                reach[some] = cells.reach(_distances(q[some], cells.pivots), want)
+            own, gap, measured = tree.nearest(q)
+            found, needed, more = tree.wanted(q, own, gap, reach)
+            visit = sorted(slices_of(found, parts) - {row["home"]})
             neighbours = part.ids[ti] if part is not None else ti
-            out.append((row["home"], row["pack"], row["n"], reach.tobytes(), visit, needed / len(q), ids[qi].tobytes(), neighbours.astype(np.int64).tobytes(), d.tobytes()))
-        names = ["home", "pack", "n", "reach", "visit", "needed", "row_ids", "neighbour_ids", "distances"]
-        kinds = [pa.int64()] * 3 + [pa.binary(), pa.list_(pa.int64()), pa.float64()] + [pa.binary()] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 9, kinds, strict=True)], names=names)
+            costs = (needed / len(q), (measured + more) / len(q))
+            out.append((row["home"], row["pack"], row["n"], reach.tobytes(), visit, *costs, ids[qi].tobytes(), neighbours.astype(np.int64).tobytes(), d.tobytes()))
+        names = ["home", "pack", "n", "reach", "visit", "needed", "measured", "row_ids", "neighbour_ids", "distances"]
+        kinds = [pa.int64()] * 3 + [pa.binary(), pa.list_(pa.int64()), pa.float64(), pa.float64()] + [pa.binary()] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 10, kinds, strict=True)], names=names)
 
     def second_round(asking: pa.Table, near: pa.Table) -> pa.Table:
         found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if asking.num_rows and near.num_rows:
-            part = _slice_of(near, plan.value[0].pivots, width)
+            part = _slice_of(near, plan.value[0].cells.pivots, width)
             for row in asking.to_pylist():
                 ids, q = _arrays(row, width)
                 qi, ti, d = _search(q, np.frombuffer(row["reach"], float).copy(), part, want)
@@ -398,7 +592,7 @@ def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: b
     by_home = packs.withColumn("slice", F.col("home"))
     pairs = by_home.select("slice", F.col("home").alias("to_home"), F.col("pack").alias("to_pack"))
     sent = blocks.join(small(pairs, packs.count()), "slice")
-    result = "home long, pack long, n long, reach binary, visit array<long>, needed double, row_ids binary, neighbour_ids binary, distances binary"
+    result = "home long, pack long, n long, reach binary, visit array<long>, needed double, measured double, row_ids binary, neighbour_ids binary, distances binary"
     one = materialise(by_home.groupBy("home", "pack", "slice").cogroup(sent.groupBy("to_home", "to_pack", "slice")).applyInArrow(first_round, result), "first-round")
     visits = one.select("home", "pack", "reach", F.explode("visit").alias("slice"))
     pairs = materialise(visits.select(F.col("home").alias("to_home"), F.col("pack").alias("to_pack"), "slice"), "visits")
@@ -418,7 +612,7 @@ def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: b
         both = both.filter(F.col("row_id") != F.col("neighbour_id"))
     order = Window.partitionBy("row_id").orderBy("distance", "neighbour_id")
     ranked = both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked, one.select("home", "pack", "n", F.lit(len(pivots)).alias("cells"), "needed", F.size("visit").alias("slices"), F.lit(slices).alias("all_slices"))
+    return ranked, one.select("home", "pack", "n", F.lit(len(index.pivots)).alias("cells"), "needed", "measured", F.size("visit").alias("slices"), F.lit(sum(x.slices for x in layers)).alias("all_slices"))
 
 
 # ---- local outlier factor ----
@@ -426,11 +620,12 @@ def nearest_with_plan(queries: DataFrame, train: DataFrame, k: int, skip_self: b
 
 @dataclass(frozen=True)
 class OutlierFactor:
-    """``rows``: row_id, features, k_distance, density of every training row."""
+    """``rows``: row_id, features, k_distance, density of every training row.  ``index`` holds the same rows."""
 
     rows: DataFrame
     k: int
     offset: float
+    index: NeighbourIndex
 
 
 def _mean_reach(pairs: DataFrame, reach: DataFrame) -> DataFrame:
@@ -454,7 +649,8 @@ def fit_outlier_factor(
     if rows < 2:
         raise ValueError("At least two rows are required.")
     k = max(1, min(k, rows - 1))
-    pairs = materialise(nearest(train, train, k, True, seed), "neighbours")
+    index = build_index(train, k + 1, seed)
+    pairs = materialise(search_index(train, index, k, True)[0], "neighbours")
     reach = pairs.groupBy(F.col("row_id").alias("neighbour_id")).agg(F.max("distance").alias("k_distance"))
     density = materialise(
         _mean_reach(pairs, small(reach, rows)).join(reach.withColumnRenamed("neighbour_id", "row_id"), "row_id"), "densities"
@@ -469,15 +665,15 @@ def fit_outlier_factor(
     )
     factors = materialise(factors, "factors")
     offset = exact_quantiles(factors, {"f": F.col("factor")}, [contamination], direct_rows)["f"][0]
-    return OutlierFactor(train.select("row_id", "features").join(density, "row_id"), k, offset)
+    return OutlierFactor(train.select("row_id", "features").join(density, "row_id"), k, offset, index)
 
 
-def score_outlier_factor(queries: DataFrame, model: OutlierFactor, seed: int = 42) -> DataFrame:
+def score_outlier_factor(queries: DataFrame, model: OutlierFactor) -> DataFrame:
     """(row_id, score_samples): minus the local outlier factor, lower is more anomalous.
 
     Queries are new rows: a training row asked again counts itself among its neighbours.
     """
-    pairs = nearest(queries, model.rows, model.k, False, seed)
+    pairs = search_index(queries, model.index, model.k)[0]
     about = model.rows.select(F.col("row_id").alias("neighbour_id"), "k_distance", F.col("density").alias("near"))
     farther = F.greatest(F.col("distance"), F.col("k_distance"))
     return (
@@ -489,10 +685,11 @@ def score_outlier_factor(queries: DataFrame, model: OutlierFactor, seed: int = 4
 
 def save_outlier_factor(model: OutlierFactor, path: str) -> None:
     model.rows.write.mode("errorifexists").parquet(f"{path}/rows")
+    save_index(model.index, f"{path}/index")
     spark = model.rows.sparkSession
     spark.createDataFrame([(model.k, model.offset)], "k int, offset double").coalesce(1).write.parquet(f"{path}/meta")
 
 
 def load_outlier_factor(spark, path: str) -> OutlierFactor:
     meta = spark.read.parquet(f"{path}/meta").first()
-    return OutlierFactor(spark.read.parquet(f"{path}/rows"), meta["k"], meta["offset"])
+    return OutlierFactor(spark.read.parquet(f"{path}/rows"), meta["k"], meta["offset"], load_index(spark, f"{path}/index"))

@@ -18,7 +18,16 @@ from wattsift.operators.models import (
     stored_vectors,
     train,
 )
-from wattsift.operators.neighbours import fit_outlier_factor, nearest, score_outlier_factor
+from wattsift.operators.neighbours import (
+    add_rows,
+    build_index,
+    fit_outlier_factor,
+    load_index,
+    nearest,
+    save_index,
+    score_outlier_factor,
+    search_index,
+)
 from wattsift.operators.prep import Preprocessor, fit_preprocessor
 from wattsift.operators.registry import Registry
 from wattsift.plans.catalog import query
@@ -82,6 +91,24 @@ def knn_join_distributed(spark, sf_dir):
     return found.select("row_id", "neighbour_id", r6("distance"), F.col("rank").cast("int").alias("rank"))
 
 
+@query(
+    "knn_index_added",
+    """with e as (select cast(vec_id as bigint) as row_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
+ gaps as (select a.row_id, b.row_id as neighbour_id, list_distance(list_reverse(a.v), b.v) as distance from e a, e b),
+ ranked as (select *, row_number() over (partition by row_id order by distance, neighbour_id) as rank from gaps)
+ select row_id, neighbour_id, round(distance, 6) as distance, cast(rank as integer) as rank from ranked where rank <= 5""",
+)
+def knn_index_added(spark, sf_dir):
+    """An index of two thirds of the vectors is stored and read, the last third added to it; all vectors, their
+    components in the opposite order, look for their neighbours in it."""
+    vectors, path = _vectors(spark, sf_dir), scratch_path(spark, "index")
+    late = F.col("row_id") % 3 == 0
+    save_index(build_index(vectors.filter(~late), 5), path)
+    index = add_rows(load_index(spark, path), vectors.filter(late))
+    found, _ = search_index(vectors.select("row_id", F.reverse("features").alias("features")), index, 5)
+    return found.select("row_id", "neighbour_id", r6("distance"), F.col("rank").cast("int").alias("rank"))
+
+
 @query("lof_fit", f"with {_FIT} select row_id, round(k_distance, 6) as k_distance, round(density, 5) as density from kdist join dens using (row_id)")
 def lof_fit(spark, sf_dir):
     model = fit_outlier_factor(_vectors(spark, sf_dir))
