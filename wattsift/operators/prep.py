@@ -106,18 +106,17 @@ def number_stats(
     row = df.agg(*parts).first()
     known_counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     medians = exact_quantiles(df, values, [0.5], direct_rows, known_counts)
-    result = []
-    for i, name in enumerate(columns):
-        known, rows = row[f"n{i}"], row["rows"]
-        fill = medians[name][0] if known else 0.0
-        if not known:
-            result.append((name, fill, fill, 0.0))
-            continue
-        missing, gap = rows - known, fill - row[f"m{i}"]
-        mean = row[f"m{i}"] + gap * missing / rows
-        spread = (row[f"v{i}"] * known + gap * gap * known * missing / rows) / rows
-        result.append((name, fill, mean, max(spread, 0.0) ** 0.5))
-    return result
+    fills = [medians[name][0] if row[f"n{i}"] else 0.0 for i, name in enumerate(columns)]
+    return [stats_line(name, fills[i], row["rows"], row[f"n{i}"], row[f"m{i}"], row[f"v{i}"]) for i, name in enumerate(columns)]
+
+
+def stats_line(name: str, fill: float, rows: int, known: int, mean: float | None, variance: float | None) -> tuple[str, float, float, float]:
+    """Mean and population deviation after the nulls were filled, from those of the known values."""
+    if not known:
+        return name, fill, fill, 0.0
+    missing, gap = rows - known, fill - mean
+    spread = (variance * known + gap * gap * known * missing / rows) / rows
+    return name, fill, mean + gap * missing / rows, max(spread, 0.0) ** 0.5
 
 
 def safe_scale(deviation: float, mean: float) -> float:
@@ -127,8 +126,13 @@ def safe_scale(deviation: float, mean: float) -> float:
 
 def fit_preprocessor(df: DataFrame, profile: Profile = ENERGY, direct_rows: int = DIRECT_ROWS) -> Preprocessor:
     require_columns(df, profile.features, "Dataset is missing configured features")
-    spark = df.sparkSession
     counts = materialise(category_counts(df, profile.categoricals, profile), "category-counts")
+    return preprocessor_of(counts, number_stats(df, profile.numeric, direct_rows), profile)
+
+
+def preprocessor_of(counts: DataFrame, numbers: list[tuple[str, float, float, float]], profile: Profile = ENERGY) -> Preprocessor:
+    """From stored (feature, value, n) of the categories and (feature, fill, mean, deviation) of the numbers."""
+    spark = counts.sparkSession
     frequencies = materialise(category_frequencies(counts), "category-frequencies")
     spread = (
         _with_share(frequencies, "weight")
@@ -147,7 +151,7 @@ def fit_preprocessor(df: DataFrame, profile: Profile = ENERGY, direct_rows: int
         if r["square"] - r["mean"] ** 2 <= 1e-15:
             deviation = 0.0
         stats.append((name, "category", None, r["mode"], r["mean"], safe_scale(deviation, r["mean"])))
-    for name, fill, mean, deviation in number_stats(df, profile.numeric, direct_rows):
+    for name, fill, mean, deviation in numbers:
         stats.append((name, "number", fill, None, mean, safe_scale(deviation, mean)))
     kept = spark.createDataFrame(stats, STATS_SCHEMA)
     return Preprocessor(kept, frequencies.select("feature", "value", "frequency"))

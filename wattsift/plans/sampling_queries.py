@@ -18,8 +18,11 @@ from wattsift.operators.sample import allocate_counts, exclude_ids, sample_exact
 from wattsift.plans.catalog import query
 from wattsift.plans.energy_view import table
 from wattsift.plans.oracle_parts import ALLOCATED, CLEAN, P, draw
-from wattsift.plans.shared import clean_energy
+from wattsift.plans.shared import clean_energy, once
 from wattsift.profile import DEFAULT_WEIGHTS
+from wattsift.session import scratch_path
+from wattsift.sources.snapshots import write_version
+from wattsift.streaming.summaries import fit_summarised, update_summaries
 
 
 @query("sample_exact", f"select o_orderkey as source_row_id, o_totalprice from orders order by {draw(42, 'sample', 'o_orderkey')}, o_orderkey limit 5000")
@@ -215,3 +218,42 @@ def scale_lines(spark, sf_dir):
     stats = {n: (mean, deviation) for n, _, mean, deviation in number_stats(lines, _LINE)}
     scaled = [F.round((F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1]), 5).alias(c) for c in _LINE]
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *scaled)
+
+
+# ---- fits that follow new versions ----
+
+_VERSIONS = ("2026-01-01", "2026-02-01", "2026-03-01")
+_SAFE = "case when deviation <= 1e-9 then 1.0 else deviation end"
+_CODES = "select feature, sum(frequency * frequency) as mean, sqrt(greatest(sum(frequency * frequency * frequency) - pow(sum(frequency * frequency), 2), 0)) as deviation from freq group by feature"
+
+
+def _followed(spark, sf_dir):
+    """The clean table in three versions, of which the last arrives after the first two were summarised."""
+
+    def build():
+        root, store, clean = scratch_path(spark, "versions"), scratch_path(spark, "summaries"), clean_energy(spark, sf_dir)
+        for i, version in enumerate(_VERSIONS):
+            write_version(clean.filter(F.pmod("source_row_id", F.lit(3)) == i), root, version)
+            if i and update_summaries(spark, root, store) != list(_VERSIONS[2 * i - 2 : i + 1]):
+                raise RuntimeError("a version was summarised twice or not at all")
+        return fit_summarised(spark.read.option("basePath", root).parquet(root), store)
+
+    return once("followed", spark, sf_dir, build)
+
+
+@query(
+    "fit_versions",
+    f"""with {CATEGORIES}, numbers as ({_STATS}), codes as ({_CODES})
+ select feature, 'number' as kind, median as fill_number, null as fill_text, mean, {_SAFE} as scale from numbers
+ union all select feature, 'category', null, mode, round(mean, 6), round({_SAFE}, 6) from codes join modes using (feature)""",
+)
+def fit_versions(spark, sf_dir):
+    """Medians, modes, means and scales by summaries of versions: those of a fit over the whole table."""
+    stats = _followed(spark, sf_dir).stats
+    rounded = [F.round(c, 6).alias(c) for c in ("fill_number", "mean", "scale")]
+    return stats.select("feature", "kind", "fill_text", *rounded)
+
+
+@query("fit_versions_frequencies", f"with {CATEGORIES} select feature, value, round(frequency, 9) as frequency from freq")
+def fit_versions_frequencies(spark, sf_dir):
+    return _followed(spark, sf_dir).frequencies.select("feature", "value", F.round("frequency", 9).alias("frequency"))
