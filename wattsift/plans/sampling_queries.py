@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
+from wattsift.estimators import Preparation
 from wattsift.operators.order_stats import boundaries, exact_quantiles
 from wattsift.operators.prep import (
     category_counts,
@@ -15,7 +17,7 @@ from wattsift.operators.prep import (
     transform,
 )
 from wattsift.operators.sample import allocate_counts, exclude_ids, sample_exact, split_evaluation
-from wattsift.plans.catalog import query
+from wattsift.plans.catalog import ORACLES, query
 from wattsift.plans.energy_view import table
 from wattsift.plans.oracle_parts import ALLOCATED, CLEAN, P, draw
 from wattsift.plans.shared import clean_energy, once
@@ -207,6 +209,15 @@ def preprocessor_24(spark, sf_dir):
     return encoded.select("source_row_id", *[F.round(c, 5).alias(c) for c in P.encoded])
 
 
+@query("pipeline_prepared", ORACLES["preprocessor_24"])
+def pipeline_prepared(spark, sf_dir):
+    """The same by a fitted pipeline that was saved and read."""
+    path, clean = scratch_path(spark, "pipeline"), clean_energy(spark, sf_dir)
+    Pipeline(stages=[Preparation()]).fit(clean).write().save(path)
+    found = PipelineModel.load(path).transform(clean.select("source_row_id", *P.features))
+    return found.select("source_row_id", *[F.round(F.get("features", F.lit(i)), 5).alias(c) for i, c in enumerate(P.encoded)])
+
+
 @query(
     "scale_lines",
     f"""with m as (select {", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in _LINE)} from lineitem)
