@@ -107,3 +107,17 @@ def test_a_stored_outlier_factor_scores_the_same(spark):
     asked = _frame(spark, rng.normal(size=(40, 3)))
     pair = [score_outlier_factor(asked, m).orderBy("row_id").toPandas() for m in (model, load_outlier_factor(spark, path))]
     assert np.allclose(pair[0]["score_samples"], pair[1]["score_samples"])
+
+
+def test_cell_meets_only_the_queries_that_reach_it(monkeypatch):
+    """Far groups of rows in one slice: a block of queries from all of them measures each against its own group only."""
+    rng, groups, each = np.random.default_rng(5), 8, 64
+    centres = np.eye(groups) * 1_000.0
+    x = (centres[:, None, :] + rng.normal(size=(groups, each, groups))).reshape(-1, groups)
+    part = neighbours.Slice.of(centres, np.repeat(np.arange(groups), each), x, np.arange(len(x)))
+    spent, spots = [], neighbours._true_spots
+    monkeypatch.setattr(neighbours, "_true_spots", lambda mask: spent.append(mask.size) or spots(mask))
+    qi, ti, d = neighbours._search(x, np.full(len(x), 20.0), part, 5)
+    gaps = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
+    assert np.allclose(d.reshape(-1, 5), np.sort(gaps, axis=1)[:, :5])
+    assert sum(spent) == groups * each * each
