@@ -152,3 +152,36 @@ def test_work_for_rare_donors_does_not_grow_with_their_number(spark):
 def test_missing_ids_are_supplied(clean_frame):
     labelled = inject_anomalies(clean_frame.drop("source_row_id"), 0.2, 7)
     assert sorted(r[0] for r in labelled.select("source_row_id").collect()) == list(range(20))
+
+
+def test_most_targets_draw_twice_only(spark, monkeypatch):
+    """Further draws are made for the targets that are left; before, every target came with all its first draws."""
+    from wattsift.operators import donors
+
+    rows = [("p", f"c{i % 4}", i, [float(i)]) for i in range(40)]
+    pool = _pool(spark, rows)
+    targets = spark.createDataFrame([("p", f"c{i % 4}", i, [float(i)]) for i in range(12)], "pool string, context string, target_id long, target_values array<double>")
+    made, tried = [], donors._try_draws
+    monkeypatch.setattr(donors, "_try_draws", lambda t, p, s, attempts, n: made.append(n * len(attempts)) or tried(t, p, s, attempts, n))
+    found = match_donors(targets, pool, 3)
+    assert found.count() == 12 and sum(made) <= 3 * 12
+
+
+def test_draws_are_worked_out_once_per_row(spark, monkeypatch):
+    """A draw is a digest; a search compares it with many bounds but makes it once."""
+    from wattsift.functions.keys import draw
+    from wattsift.operators import order_stats
+
+    seen, ranked = [], order_stats._rank_directly
+
+    def spy(df, values, pending, found):
+        v = values["v"]
+        plan = df.agg(F.count_if((v < 5) | (v == 7)), F.count_if(v > 9))._jdf.queryExecution().optimizedPlan().toString()
+        seen.append(plan.count("md5("))
+        ranked(df, values, pending, found)
+
+    monkeypatch.setattr(order_stats, "_rank_directly", spy)
+    rows = spark.range(50)
+    edges = order_stats.boundaries(rows, draw(1, "x", F.col("id")), F.col("id"), [3, 9], 50)
+    assert rows.filter(edges[1].covers(draw(1, "x", F.col("id")), F.col("id"))).count() == 9
+    assert seen == [1]

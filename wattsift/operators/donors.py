@@ -23,8 +23,10 @@ from wattsift.operators.sample import BROADCAST_ROWS
 from wattsift.session import materialise
 
 SLICE_ROWS = 500_000
+FEW_DRAWS = 2
 FIRST_DRAWS = 8
 ALL_DRAWS = 64
+TRY_ROWS = 500_000  # draws to broadcast: each carries its target's values
 BARRED_CELLS = 3  # a target's own cell and its neighbours
 SPECIAL_CELL = 1 << 40  # beyond the cell of any finite number
 
@@ -65,6 +67,9 @@ def pool_positions(pool: DataFrame, seed: int, slice_rows: int = SLICE_ROWS) ->
     placed = keyed.join(small(ranges.select("pool", "context", "slices", "lo"), n_contexts), ["pool", "context"])
     part = F.floor(F.col("order_key") / F.lit(float(2**DRAW_BITS)) * F.col("slices")).cast("long")
     placed = placed.withColumn("slice", part)
+    in_slice = Window.partitionBy("pool", "context", "slice").orderBy("order_key", "donor_id")
+    placed = placed.withColumn("place", F.row_number().over(in_slice))
+    placed = materialise(placed.select("pool", "context", "slice", "place", "donor_id", "donor_values", "lo"), "donor-places")
 
     earlier = Window.partitionBy("pool", "context").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -72,17 +77,10 @@ def pool_positions(pool: DataFrame, seed: int, slice_rows: int = SLICE_ROWS) ->
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("pool", "context", "slice", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
     )
-    in_slice = Window.partitionBy("pool", "context", "slice").orderBy("order_key", "donor_id")
-    positions = (
-        placed.withColumn("place", F.row_number().over(in_slice))
-        .join(small(offsets, n_slices), ["pool", "context", "slice"])
-        .select(
-            "pool",
-            "context",
-            "donor_id",
-            "donor_values",
-            (F.col("lo") + F.col("offset") + F.col("place") - 1).alias("position"),
-        )
+    offsets = materialise(offsets, "donor-offsets")
+    position = (F.col("lo") + F.col("offset") + F.col("place") - 1).alias("position")
+    positions = placed.join(small(offsets, n_slices), ["pool", "context", "slice"]).select(
+        "pool", "context", "donor_id", "donor_values", position
     )
     return positions, ranges.drop("slices")
 
@@ -116,9 +114,8 @@ def _try_draws(targets: DataFrame, positions: DataFrame, seed: int, attempts: ra
     )
     tries = tries.withColumn("position", drawn_position(seed, F.col("pool"), F.col("target_id"), F.col("attempt")))
     tries = tries.select("pool", "position", "target_id", "target_values", "attempt")
-    met = positions.select("pool", "position", "donor_id", "donor_values").join(
-        small(tries, n_targets * len(attempts)), ["pool", "position"]
-    )
+    light = F.broadcast(tries) if n_targets * len(attempts) <= TRY_ROWS else tries
+    met = positions.select("pool", "position", "donor_id", "donor_values").join(light, ["pool", "position"])
     return (
         met.filter(~vectors_close(F.col("donor_values"), F.col("target_values")))
         .groupBy("pool", "target_id")
@@ -208,18 +205,20 @@ def match_donors(
     its values equal its own.  Targets without a donor are missing from the result.
     """
     positions, ranges = pool_positions(pool, seed, slice_rows)
-    positions = materialise(positions, "donor-pool")
     n_ranges = ranges.count()
     ranged = materialise(with_ranges(targets, ranges, n_ranges).filter(F.col("size") > 0), "donor-targets")
     n_targets = ranged.count()
-    matched = materialise(_try_draws(ranged, positions, seed, range(first_draws), n_targets), "donor-first")
+    few = min(FEW_DRAWS, first_draws)
+    matched = materialise(_try_draws(ranged, positions, seed, range(few), n_targets), "donor-first")
     left = ranged.join(matched.select("pool", "target_id"), ["pool", "target_id"], "left_anti")
     n_left = left.count()
-    if n_left and all_draws > first_draws:
-        more = materialise(_try_draws(left, positions, seed, range(first_draws, all_draws), n_left), "donor-more")
-        left = left.join(more.select("pool", "target_id"), ["pool", "target_id"], "left_anti")
-        matched = matched.unionByName(more)
-        n_left = left.count()
+    # most targets take their first or second draw, so the others are made for the few that are left only
+    for low, high in ((few, first_draws), (first_draws, all_draws)):
+        if n_left and high > low:
+            more = materialise(_try_draws(left, positions, seed, range(low, high), n_left), "donor-more")
+            left = left.join(more.select("pool", "target_id"), ["pool", "target_id"], "left_anti")
+            matched = matched.unionByName(more)
+            n_left = left.count()
     if n_left:
         matched = matched.unionByName(_from_options(left, positions))
     return matched

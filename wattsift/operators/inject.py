@@ -118,7 +118,8 @@ def target_types(
     kind = F.lit(None).cast("string")
     for name, edge in reversed(edges.items()):
         kind = F.when(edge.covers(key, rid), F.lit(name)).otherwise(kind)
-    return F.when(able, kind), wanted
+    # the last edge covers all targets: the other rows, most of the table, are settled by one comparison
+    return F.when(able & found[-1].covers(key, rid), kind), wanted
 
 
 def _memberships(df: DataFrame, id_name: str, values_name: str, entries: list[tuple[Column, Column, Column]], profile: Profile) -> DataFrame:

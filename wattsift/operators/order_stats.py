@@ -80,6 +80,10 @@ def values_at_ranks(
             raise ValueError(f"rank must be between 1 and {counts[name]}, got {rank}.")
         pending.append(_Open(name, rank, inside=counts[name], guess=(guesses or {}).get((name, rank))))
 
+    # each expression is worked out once per row, however many bounds it is compared with
+    spots = {name: f"__value_{i}" for i, name in enumerate(dict.fromkeys(name for name, _ in wanted))}
+    df = df.select(*[values[name].alias(spot) for name, spot in spots.items()])
+    values = {name: F.col(spot) for name, spot in spots.items()}
     found: dict[tuple[str, int], RankHit] = {}
     while True:
         wide = [o for o in pending if o.inside > direct_rows]
@@ -208,7 +212,8 @@ class Boundary:
         bound = F.lit(self.value)
         if self.last_id is None:
             return value <= bound
-        return (value < bound) | ((value == bound) & (row_id <= F.lit(self.last_id)))
+        # rows above the bound, most of them as a rule, are settled by the first comparison
+        return (value <= bound) & ((value < bound) | (row_id <= F.lit(self.last_id)))
 
 
 def boundaries(
