@@ -275,3 +275,20 @@ def test_category_lookup_is_the_same_by_constant_and_by_join(spark, clean_frame)
     ]
     assert ways[0] == ways[1] == ways[2]
     assert [r[1] for r in ways[0]] == [1.0] * 5 + [0.0] * 4 + [1.0] * 11
+
+
+def test_one_class_lifts_a_few_rows_at_once(spark, monkeypatch):
+    """A batch is lifted in parts that fit a core's cache, and the fitted scores are stored before they are ranked."""
+    from wattsift.operators import one_class
+
+    x = np.random.default_rng(3).normal(size=(500, 4))
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id long, features array<double>").coalesce(1)
+    whole = one_class.fit_one_class(rows, 0.1, components=16, steps=3)
+    stored, write = [], one_class.materialise
+    monkeypatch.setattr(one_class, "materialise", lambda df, label: stored.append(label) or write(df, label))
+    monkeypatch.setattr(one_class, "LIFT_ROWS", 64)
+    parts = one_class.fit_one_class(rows, 0.1, components=16, steps=3)
+    assert stored == ["one-class-fit"]
+    scores = [one_class.score_one_class(rows, m).orderBy("row_id").toPandas()["decision"].to_numpy() for m in (whole, parts)]
+    assert np.allclose(*scores, atol=1e-9)
+    assert [len(z) for z in one_class._lifted(rows.toArrow().combine_chunks().to_batches()[0], np.ones((4, 16)), np.zeros(16))] == [64] * 7 + [52]

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from wattsift.functions.batches import matrix, schema_with, with_column
 from wattsift.operators.order_stats import DIRECT_ROWS, exact_quantiles
+from wattsift.session import materialise
 
 COMPONENT_SCHEMA = "component int, direction array<double>, phase double, weight double"
+LIFT_ROWS = 1_024  # rows lifted at once: their components stay in a core's cache
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,17 @@ def scale_gamma(data: DataFrame) -> float:
 
 
 def _lift(x: np.ndarray, directions: np.ndarray, phases: np.ndarray) -> np.ndarray:
-    return np.sqrt(2.0 / len(phases)) * np.cos(x @ directions + phases)
+    z = x @ directions
+    z += phases
+    np.cos(z, out=z)
+    z *= np.sqrt(2.0 / len(phases))
+    return z
+
+
+def _lifted(batch: pa.RecordBatch, directions: np.ndarray, phases: np.ndarray) -> Iterator[np.ndarray]:
+    x = matrix(batch)
+    for low in range(0, len(x), LIFT_ROWS):
+        yield _lift(x[low : low + LIFT_ROWS], directions, phases)
 
 
 def _scores(data: DataFrame, parts: tuple[np.ndarray, np.ndarray, np.ndarray], name: str) -> DataFrame:
@@ -51,7 +63,7 @@ def _scores(data: DataFrame, parts: tuple[np.ndarray, np.ndarray, np.ndarray], n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, phases, weights = shipped.value
         for batch in batches:
-            value = _lift(matrix(batch), directions, phases) @ weights if batch.num_rows else np.empty(0)
+            value = np.concatenate([z @ weights for z in _lifted(batch, directions, phases)] or [np.empty(0)])
             yield with_column(batch, names, name, value)
 
     return data.mapInArrow(run, schema_with(kept, name))
@@ -65,8 +77,7 @@ def _mean_lift(data: DataFrame, parts, ceiling: float | None) -> np.ndarray | No
         directions, phases, weights = shipped.value
         total, rows = np.zeros(len(phases)), 0
         for batch in batches:
-            if batch.num_rows:
-                z = _lift(matrix(batch), directions, phases)
+            for z in _lifted(batch, directions, phases):
                 if ceiling is not None:
                     z = z[z @ weights <= ceiling]
                 total, rows = total + z.sum(axis=0), rows + len(z)
@@ -109,7 +120,7 @@ def fit_one_class(
         if tail is None:
             break
         weights = weights + 2.0 / (step + 3.0) * (tail - weights)
-    scored = _scores(data, (directions, phases, weights), "s")
+    scored = materialise(_scores(data, (directions, phases, weights), "s").select("s"), "one-class-fit")
     offset = exact_quantiles(scored, {"s": F.col("s")}, [nu], direct_rows)["s"][0]
     rows = [(i, [float(v) for v in directions[:, i]], float(phases[i]), float(weights[i])) for i in range(components)]
     meta = spark.createDataFrame([(float(gamma), float(nu), float(offset))], "gamma double, nu double, offset double")
