@@ -121,3 +121,25 @@ def test_cell_meets_only_the_queries_that_reach_it(monkeypatch):
     gaps = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(2))
     assert np.allclose(d.reshape(-1, 5), np.sort(gaps, axis=1)[:, :5])
     assert sum(spent) == groups * each * each
+
+
+def test_rows_near_most_leaves_meet_all_pivots_at_once(monkeypatch):
+    """In many dimensions no leaf can be left out: a row is then taken up a few times, not once per node of the tree."""
+    rng = np.random.default_rng(11)
+    pivots = rng.normal(size=(600, 20))
+    pivots = pivots[neighbours._chained(pivots)]
+    x = rng.normal(size=(1_500, 20))
+    gaps = np.sqrt(((x[:, None] - pivots[None]) ** 2).sum(2))
+    counts = np.bincount(gaps.argmin(1), minlength=600)
+    radius = np.array([gaps[gaps.argmin(1) == c, c].max() if counts[c] else 0.0 for c in range(600)])
+    tree = PivotTree.over(Cells(pivots, counts, radius))
+    taken, measure = [], neighbours._distances
+    monkeypatch.setattr(neighbours, "_distances", lambda a, b: taken.append(len(a)) or measure(a, b))
+    own, near, _ = tree.nearest(x)
+    assert np.array_equal(own, gaps.argmin(1)) and np.allclose(near, gaps.min(1))
+    assert sum(taken) <= 4 * len(x)
+    taken.clear()
+    found, needed, _ = tree.wanted(x, own, near, np.full(len(x), 3.0))
+    assert sum(taken) <= 4 * len(x) and set(own) <= set(np.flatnonzero(found)) and needed <= 600 * len(x)
+    within = np.sqrt(((x[:200, None] - x[None]) ** 2).sum(2)) <= 3.0
+    assert needed >= sum(len(set(own[w])) for w in within)
